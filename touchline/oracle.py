@@ -133,6 +133,59 @@ _view(
 )
 
 
+_view(
+    "f_match_passes",
+    ("f_events",),
+    """
+    SELECT matchId, competition, season, eventTeam AS team,
+           CAST(count(*) AS BIGINT) AS totalPasses,
+           CAST(count_if(list_contains(tags, 'Accurate')) AS BIGINT) AS successfulPasses
+    FROM f_events
+    WHERE event = 'Pass'
+    GROUP BY matchId, competition, season, eventTeam
+    """,
+)
+
+_view(
+    "f_pass_ratio",
+    ("f_match_passes",),
+    """
+    SELECT competition, season, team, avg(successfulPasses / totalPasses * 100) AS ratio
+    FROM f_match_passes
+    GROUP BY competition, season, team
+    """,
+)
+
+_view(
+    "f_sales",
+    (),
+    """
+    SELECT p.p_brand AS publisher, CAST(l.l_shipdate AS DATE) AS release_date,
+           CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) END AS na_sales,
+           CAST(l.l_extendedprice AS DECIMAL(18, 2)) AS total_sales
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+    """,
+)
+
+_view(
+    "f_sales_window",
+    ("f_sales",),
+    """
+    SELECT * FROM f_sales WHERE release_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+    """,
+)
+
+_view(
+    "f_best_publisher",
+    ("f_sales_window",),
+    """
+    SELECT publisher, CAST(sum(na_sales) AS DECIMAL(38, 2)) AS na_total
+    FROM f_sales_window GROUP BY publisher
+    ORDER BY na_total DESC NULLS LAST, publisher LIMIT 1
+    """,
+)
+
+
 def _signed(expr: str) -> str:
     return f"CASE WHEN {expr} > 0 THEN '+' || CAST({expr} AS VARCHAR) ELSE CAST({expr} AS VARCHAR) END"
 
@@ -141,6 +194,9 @@ def _signed(expr: str) -> str:
 
 COMPETITION = "EUROPE"
 SEASON = "1997"
+PASS_TOTAL_ABOVE = 4
+PASS_SUCCESSFUL_ABOVE = 2
+BEST_TEAMS_PER_LEAGUE = 2
 
 
 def football_sql() -> dict[str, str]:
@@ -183,10 +239,97 @@ def football_sql() -> dict[str, str]:
         """,
         "f_standings",
     )
+    q["match_passes"] = with_views("SELECT * FROM f_match_passes", "f_match_passes")
+    q["pass_thresholds"] = with_views(
+        f"""
+        SELECT CAST(count(*) AS BIGINT) AS rows,
+               CAST(count_if(totalPasses > {PASS_TOTAL_ABOVE}) AS BIGINT) AS high_total,
+               CAST(count_if(successfulPasses > {PASS_SUCCESSFUL_ABOVE}) AS BIGINT) AS high_successful
+        FROM f_match_passes
+        """,
+        "f_match_passes",
+    )
+    q["season_pass_ratio"] = with_views(
+        f"""
+        SELECT competition, season, team, round(ratio, 2) AS passSuccessRatio
+        FROM f_pass_ratio WHERE season = '{SEASON}'
+        """,
+        "f_pass_ratio",
+    )
+    q["worst_passers"] = with_views(
+        f"""
+        SELECT competition, team, round(ratio, 2) AS passSuccessRatio
+        FROM (SELECT *, row_number() OVER (PARTITION BY competition ORDER BY ratio, team) AS rn
+              FROM f_pass_ratio WHERE season = '{SEASON}')
+        WHERE rn = 1
+        """,
+        "f_pass_ratio",
+    )
+    stats = f"""
+        SELECT competition, season, team, Pld, W, D, L, GF, GA, 3 * W + D AS Pts, GF - GA AS GD,
+               round((3 * W + D) / Pld, 2) AS Avg
+        FROM (SELECT competition, season, team, CAST(count(*) AS BIGINT) AS Pld,
+                     CAST(sum(CASE WHEN GF > GA THEN 1 ELSE 0 END) AS BIGINT) AS W,
+                     CAST(sum(CASE WHEN GF = GA THEN 1 ELSE 0 END) AS BIGINT) AS D,
+                     CAST(sum(CASE WHEN GF < GA THEN 1 ELSE 0 END) AS BIGINT) AS L,
+                     CAST(sum(GF) AS BIGINT) AS GF, CAST(sum(GA) AS BIGINT) AS GA
+              FROM f_team_rows WHERE season = '{SEASON}'
+              GROUP BY competition, season, team)
+    """
+    q["team_season_stats"] = with_views(stats, "f_team_rows")
+    with_pass = f"""
+        SELECT s.*, round(p.ratio, 2) AS PassRatio, p.ratio AS raw_ratio
+        FROM ({stats}) s LEFT JOIN f_pass_ratio p
+          ON s.competition = p.competition AND s.season = p.season AND s.team = p.team
+    """
+    q["team_stats_with_passes"] = with_views(
+        f"SELECT * EXCLUDE (raw_ratio) FROM ({with_pass})", "f_team_rows", "f_pass_ratio"
+    )
+    q["best_teams"] = with_views(
+        f"""
+        SELECT team AS Team, competition AS League, CAST(Pos AS INTEGER) AS Pos, Pld, W, D, L, GF, GA,
+               {_signed('GD')} AS GD, Pts, Avg, PassRatio
+        FROM (SELECT *, row_number() OVER (PARTITION BY competition, season
+                                           ORDER BY Pts / Pld DESC, Pos) AS pick
+              FROM (SELECT *, row_number() OVER (PARTITION BY competition, season
+                                                 ORDER BY Pts DESC, GD DESC, GF DESC, team) AS Pos
+                    FROM ({with_pass})))
+        WHERE pick <= {BEST_TEAMS_PER_LEAGUE}
+        """,
+        "f_team_rows",
+        "f_pass_ratio",
+    )
+    return q
+
+
+def sales_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["scan_csv"] = with_views("SELECT * FROM f_sales", "f_sales")
+    q["sales_window"] = with_views("SELECT * FROM f_sales_window", "f_sales_window")
+    q["sales_top_publisher"] = with_views("SELECT * FROM f_best_publisher", "f_best_publisher")
+    q["sales_missing_count"] = with_views(
+        """
+        SELECT w.publisher, CAST(count_if(w.na_sales IS NULL) AS BIGINT) AS missing
+        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher = b.publisher
+        GROUP BY w.publisher
+        """,
+        "f_best_publisher",
+    )
+    q["sales_yearly_totals"] = with_views(
+        """
+        SELECT CAST(year(w.release_date) AS INTEGER) AS year,
+               CAST(sum(w.na_sales) AS DECIMAL(38, 2)) AS na_total,
+               CAST(sum(w.total_sales) AS DECIMAL(38, 2)) AS global_total
+        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher = b.publisher
+        GROUP BY year(w.release_date)
+        """,
+        "f_best_publisher",
+    )
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(football_sql())
+    out.update(sales_sql())
     return out
