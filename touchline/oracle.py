@@ -185,6 +185,110 @@ _view(
     """,
 )
 
+_view(
+    "f_length",
+    ("f_events",),
+    """
+    SELECT matchId, CAST(45 + ceil(max(eventTime) / 60) AS BIGINT) AS matchLength
+    FROM f_events WHERE eventPeriod = '2H' GROUP BY matchId
+    """,
+)
+
+_view(
+    "f_sides",
+    ("f_match_base",),
+    """
+    SELECT matchId, competition, season, homeTeam AS team, CAST(home_nk AS BIGINT) * 100 AS b, matchId AS k
+    FROM f_match_base
+    UNION ALL
+    SELECT matchId, competition, season, awayTeam, CAST(away_nk AS BIGINT) * 100, matchId + 3
+    FROM f_match_base
+    """,
+)
+
+_view(
+    "f_subs",
+    ("f_sides",),
+    """
+    SELECT matchId, competition, season, team, b + 12 AS playerIn, b + 1 + k % 11 AS playerOut,
+           CAST(40 + k % 50 AS INTEGER) AS minute
+    FROM f_sides
+    UNION ALL
+    SELECT matchId, competition, season, team, b + 13, b + 1 + (k + 4) % 11, CAST(46 + (k * 7) % 44 AS INTEGER)
+    FROM f_sides WHERE k % 3 <> 0
+    UNION ALL
+    SELECT matchId, competition, season, team, b + 14, b + 12, 90
+    FROM f_sides WHERE k % 5 = 0
+    """,
+)
+
+_view(
+    "f_lineup",
+    ("f_sides",),
+    """
+    SELECT matchId, competition, season, team, b + t.i AS playerId, 0 AS startMinute
+    FROM f_sides CROSS JOIN range(1, 12) t(i)
+    """,
+)
+
+_view(
+    "f_stints",
+    ("f_lineup", "f_subs", "f_length"),
+    """
+    SELECT e.matchId, e.competition, e.season, e.team, e.playerId, e.startMinute, o.minute AS outMinute,
+           coalesce(l.matchLength, 90) AS len
+    FROM (SELECT matchId, competition, season, team, playerId, startMinute FROM f_lineup
+          UNION ALL
+          SELECT matchId, competition, season, team, playerIn, minute FROM f_subs) e
+    LEFT JOIN f_subs o ON o.matchId = e.matchId AND o.team = e.team AND o.playerOut = e.playerId
+    LEFT JOIN f_length l ON l.matchId = e.matchId
+    """,
+)
+
+_view(
+    "f_players",
+    (),
+    """
+    SELECT CAST(n.n_nationkey AS BIGINT) * 100 + t.s AS playerId, 'P' || t.s AS firstName,
+           n.n_name AS lastName, r.r_name AS birthArea,
+           CASE WHEN t.s IN (1, 12) THEN 'Goalkeeper'
+                WHEN t.s IN (2, 3, 4, 5, 13) THEN 'Defender'
+                WHEN t.s IN (6, 7, 8, 9, 14) THEN 'Midfielder'
+                ELSE 'Forward' END AS role,
+           'right' AS foot
+    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey CROSS JOIN range(1, 15) t(s)
+    """,
+)
+
+_view(
+    "f_goals",
+    ("f_flagged",),
+    """
+    SELECT matchId, competition, season, eventId, eventPeriod, eventTime,
+           CASE WHEN homeGoal THEN homeTeam ELSE awayTeam END AS goalTeam,
+           CASE WHEN eventPeriod = '2H' THEN 100000.0 ELSE 0.0 END + eventTime AS clock
+    FROM f_flagged WHERE homeGoal OR awayGoal
+    """,
+)
+
+
+def _sub_clock(m: str) -> str:
+    return f"CASE WHEN {m} < 45 THEN {m} * 60.0 ELSE 100000.0 + ({m} - 45) * 60.0 END"
+
+
+_view(
+    "f_pm_events",
+    ("f_stints", "f_goals"),
+    f"""
+    SELECT s.matchId, s.season, s.playerId, s.team, g.eventId, g.eventPeriod, g.eventTime,
+           CASE WHEN s.team = g.goalTeam THEN 1 ELSE -1 END AS delta
+    FROM f_stints s JOIN f_goals g
+      ON s.matchId = g.matchId
+     AND g.clock >= {_sub_clock('s.startMinute')}
+     AND (s.outMinute IS NULL OR g.clock < {_sub_clock('s.outMinute')})
+    """,
+)
+
 
 def _signed(expr: str) -> str:
     return f"CASE WHEN {expr} > 0 THEN '+' || CAST({expr} AS VARCHAR) ELSE CAST({expr} AS VARCHAR) END"
@@ -328,8 +432,59 @@ def sales_sql() -> dict[str, str]:
     return q
 
 
+PLUS_MINUS_ABOVE = 40
+
+
+def players_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["match_length"] = with_views("SELECT * FROM f_length", "f_length")
+    q["lineup_rows"] = with_views("SELECT * FROM f_lineup", "f_lineup")
+    q["substitution_rows"] = with_views("SELECT * FROM f_subs", "f_subs")
+    stint_cols = """
+        matchId, competition, season, team, playerId, startMinute,
+        least(coalesce(outMinute, len), len) AS endMinute,
+        least(coalesce(outMinute, len), len) - least(startMinute, len) AS minutes
+    """
+    q["player_stints"] = with_views(f"SELECT {stint_cols} FROM f_stints", "f_stints")
+    minutes = f"""
+        SELECT season, playerId, CAST(sum(minutes) AS BIGINT) AS minutes
+        FROM (SELECT {stint_cols} FROM f_stints) GROUP BY season, playerId
+    """
+    q["player_minutes"] = with_views(minutes, "f_stints")
+    q["top_minutes_by_role"] = with_views(
+        f"""
+        SELECT role, player, birthArea, minutes FROM (
+            SELECT p.role, p.firstName || ' ' || p.lastName AS player, p.birthArea, m.minutes,
+                   row_number() OVER (PARTITION BY p.role ORDER BY m.minutes DESC, m.playerId) AS rn
+            FROM ({minutes}) m JOIN f_players p ON p.playerId = m.playerId
+            WHERE m.season = '{SEASON}')
+        WHERE rn = 1
+        """,
+        "f_stints",
+        "f_players",
+    )
+    q["goal_team"] = with_views(
+        "SELECT matchId, competition, season, eventId, eventPeriod, eventTime, goalTeam FROM f_goals",
+        "f_goals",
+    )
+    q["plus_minus_events"] = with_views("SELECT * FROM f_pm_events", "f_pm_events")
+    q["plus_minus_above"] = with_views(
+        f"""
+        SELECT p.firstName || ' ' || p.lastName AS player, p.birthArea, p.role, pm.plusMinus
+        FROM (SELECT playerId, CAST(sum(delta) AS BIGINT) AS plusMinus
+              FROM f_pm_events GROUP BY playerId) pm
+        JOIN f_players p ON p.playerId = pm.playerId
+        WHERE pm.plusMinus > {PLUS_MINUS_ABOVE}
+        """,
+        "f_pm_events",
+        "f_players",
+    )
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(players_sql())
     out.update(football_sql())
     out.update(sales_sql())
     return out
