@@ -289,6 +289,95 @@ _view(
     """,
 )
 
+# Image views. Pixels are exploded to rows here (brute force) and the colour
+# of each pixel is found by joining a palette table - a different route from
+# the Spark jobs, which keep every image in one row.
+_view(
+    "f_img",
+    (),
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS filename, 'doc: ' || CAST(doc_id AS VARCHAR) AS annotation,
+           source AS "group", 4 AS nChannels,
+           unhex(""" + " || ".join(f"md5(concat_ws('-', doc_id, {i}))" for i in range(16)) + """) AS data
+    FROM documents
+    """,
+)
+
+# Basic colour per rounded (r, g, b), 27 rows.
+_view(
+    "f_palette",
+    (),
+    """
+    SELECT * FROM (VALUES
+        (0, 0, 0, 'Black'), (0, 0, 128, 'Blue'), (0, 0, 255, 'Blue'),
+        (0, 128, 0, 'Green'), (0, 128, 128, 'Green'), (0, 128, 255, 'Blue'),
+        (0, 255, 0, 'Green'), (0, 255, 128, 'Green'), (0, 255, 255, 'Blue'),
+        (128, 0, 0, 'Red'), (128, 0, 128, 'Purple'), (128, 0, 255, 'Purple'),
+        (128, 128, 0, 'Green'), (128, 128, 128, 'Gray'), (128, 128, 255, 'Purple'),
+        (128, 255, 0, 'Green'), (128, 255, 128, 'Green'), (128, 255, 255, 'Blue'),
+        (255, 0, 0, 'Red'), (255, 0, 128, 'Pink'), (255, 0, 255, 'Purple'),
+        (255, 128, 0, 'Orange'), (255, 128, 128, 'Orange'), (255, 128, 255, 'Pink'),
+        (255, 255, 0, 'Yellow'), (255, 255, 128, 'Yellow'), (255, 255, 255, 'White')
+    ) AS t(r, g, b, name)
+    """,
+)
+
+_view(
+    "f_pixels",
+    ("f_img",),
+    """
+    SELECT filename, annotation, "group", i, substr(h, i * 8 + 1, 8) AS px
+    FROM (SELECT *, hex(data) AS h FROM f_img) CROSS JOIN LATERAL (SELECT unnest(range(0, length(h) // 8)) AS i)
+    """,
+)
+
+
+def _bucket(pos: int) -> str:
+    v = f"CAST('0x' || substr(px, {pos}, 2) AS INTEGER)"
+    return f"CASE WHEN {v} < 85 THEN 0 WHEN {v} < 170 THEN 128 ELSE 255 END"
+
+
+_view(
+    "f_pixel_colors",
+    ("f_pixels", "f_palette"),
+    f"""
+    SELECT p.filename, p.annotation, p."group", p.i, p.px,
+           CASE WHEN CAST('0x' || substr(p.px, 7, 2) AS INTEGER) >= 128 THEN c.name ELSE 'None' END AS color
+    FROM f_pixels p JOIN f_palette c
+      ON c.r = {_bucket(5)} AND c.g = {_bucket(3)} AND c.b = {_bucket(1)}
+    """,
+)
+
+_view(
+    "f_hist",
+    ("f_pixel_colors",),
+    """
+    SELECT filename, annotation, "group", color, CAST(count(*) AS INTEGER) AS pixels
+    FROM f_pixel_colors GROUP BY filename, annotation, "group", color
+    """,
+)
+
+_view(
+    "f_img_totals",
+    ("f_hist",),
+    """
+    SELECT filename, annotation, "group",
+           CAST(sum(pixels) AS INTEGER) AS total_pixels,
+           CAST(sum(CASE WHEN color <> 'None' THEN pixels ELSE 0 END) AS INTEGER) AS colored_pixels,
+           CAST(sum(CASE WHEN color = 'None' THEN pixels ELSE 0 END) AS INTEGER) AS transparent_pixels
+    FROM f_hist GROUP BY filename, annotation, "group"
+    """,
+)
+
+_view(
+    "f_top_colors",
+    ("f_hist",),
+    """
+    SELECT *, row_number() OVER (PARTITION BY filename ORDER BY pixels DESC, color) AS rk
+    FROM f_hist WHERE color <> 'None'
+    """,
+)
+
 
 def _signed(expr: str) -> str:
     return f"CASE WHEN {expr} > 0 THEN '+' || CAST({expr} AS VARCHAR) ELSE CAST({expr} AS VARCHAR) END"
@@ -482,8 +571,74 @@ def players_sql() -> dict[str, str]:
     return q
 
 
+COLOR_SIGNATURE = ("Green", "Blue", "Purple")
+RED_GROUP = "src1"
+
+
+def colors_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["scan_jsonl"] = with_views('SELECT filename AS hexcode, annotation, "group" FROM f_img', "f_img")
+    q["image_metadata_join"] = with_views(
+        'SELECT filename, annotation, "group", nChannels, data FROM f_img', "f_img"
+    )
+    q["pixel_hex"] = with_views(
+        "SELECT filename, list(px ORDER BY i) AS pixels FROM f_pixels GROUP BY filename", "f_pixels"
+    )
+    q["pixel_color"] = with_views(
+        "SELECT filename, list(color ORDER BY i) AS colors FROM f_pixel_colors GROUP BY filename",
+        "f_pixel_colors",
+    )
+    q["color_histogram"] = with_views("SELECT * FROM f_hist", "f_hist")
+    q["most_colored"] = with_views(
+        """
+        SELECT annotation, colored_pixels FROM f_img_totals
+        ORDER BY colored_pixels DESC, annotation, filename LIMIT 4
+        """,
+        "f_img_totals",
+    )
+    q["least_colored_ratio"] = with_views(
+        """
+        SELECT annotation, colored_pixels, transparent_pixels,
+               round(colored_pixels / NULLIF(transparent_pixels, 0), 4) AS colored_ratio
+        FROM f_img_totals
+        ORDER BY coalesce(colored_pixels / NULLIF(total_pixels, 0), 0.0), annotation, filename LIMIT 5
+        """,
+        "f_img_totals",
+    )
+    q["top_colors_share"] = with_views(
+        """
+        SELECT t.annotation, CAST(t.rk AS INTEGER) AS rank, t.color, t.pixels,
+               round(t.pixels / s.colored_pixels * 100, 2) AS share
+        FROM f_top_colors t JOIN f_img_totals s ON s.filename = t.filename
+        WHERE t.rk <= 3
+        """,
+        "f_top_colors",
+        "f_img_totals",
+    )
+    wanted = ", ".join(f"'{c}'" for c in COLOR_SIGNATURE)
+    q["color_signature_count"] = with_views(
+        f"""
+        SELECT '{"-".join(COLOR_SIGNATURE)}' AS signature, CAST(count(*) AS BIGINT) AS images
+        FROM (SELECT filename, list(color ORDER BY rk) AS top3
+              FROM f_top_colors WHERE rk <= {len(COLOR_SIGNATURE)} GROUP BY filename)
+        WHERE top3 = [{wanted}]
+        """,
+        "f_top_colors",
+    )
+    q["most_red_in_group"] = with_views(
+        f"""
+        SELECT annotation, pixels AS red_pixels FROM f_hist
+        WHERE "group" = '{RED_GROUP}' AND color = 'Red'
+        ORDER BY pixels DESC, annotation, filename LIMIT 5
+        """,
+        "f_hist",
+    )
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(colors_sql())
     out.update(players_sql())
     out.update(football_sql())
     out.update(sales_sql())

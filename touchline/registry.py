@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators import colors as C
 from touchline.operators import matches as M
 from touchline.operators import passes as P
 from touchline.operators import players as PL
@@ -19,7 +20,7 @@ from touchline.operators import sales as S
 from touchline.operators import teams as TM
 from touchline.session import scratch_path
 from touchline.sources import fixtures as fx
-from touchline.sources.readers import read_sales_csv
+from touchline.sources.readers import read_metadata, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,10 @@ SALES_FROM, SALES_TO = "1996-01-01", "1999-12-31"
 # with a threshold of 40.
 PLUS_MINUS_ABOVE = 40
 PLUS_MINUS_SEASON = None
+# Colour questions: the most frequent top-three signature in the test images
+# is Green-Blue-Purple; "group" is the document source.
+COLOR_SIGNATURE = ("Green", "Blue", "Purple")
+RED_GROUP = "src1"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -229,6 +234,70 @@ def q_plus_minus_above(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _joined_images(spark: SparkSession, sf: str) -> DataFrame:
+    return C.images_with_metadata(fx.images(spark, sf), fx.image_meta(spark, sf))
+
+
+def _profile(spark: SparkSession, sf: str) -> DataFrame:
+    return C.color_profile(_joined_images(spark, sf))
+
+
+@register("scan_jsonl")
+def q_scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Round trip: Spark writes the image metadata as JSON lines to the shared
+    checkpoint folder, then reads it back with the explicit schema."""
+    path = scratch_path(spark, "image-meta-jsonl")
+    fx.image_meta(spark, sf).write.json(path)
+    return read_metadata(spark, path)
+
+
+@register("image_metadata_join")
+def q_image_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
+    return _joined_images(spark, sf)
+
+
+@register("pixel_hex")
+def q_pixel_hex(spark: SparkSession, sf: str) -> DataFrame:
+    from touchline.functions.pixels import pixel_hex
+
+    return _joined_images(spark, sf).select("filename", pixel_hex(F.col("data"), F.col("nChannels")).alias("pixels"))
+
+
+@register("pixel_color")
+def q_pixel_color(spark: SparkSession, sf: str) -> DataFrame:
+    return C.pixel_colors(_joined_images(spark, sf)).select("filename", "colors")
+
+
+@register("color_histogram")
+def q_color_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return C.color_histogram(_profile(spark, sf))
+
+
+@register("most_colored")
+def q_most_colored(spark: SparkSession, sf: str) -> DataFrame:
+    return C.most_colored(_profile(spark, sf), 4)
+
+
+@register("least_colored_ratio")
+def q_least_colored_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    return C.least_colored_ratio(_profile(spark, sf), 5)
+
+
+@register("top_colors_share")
+def q_top_colors_share(spark: SparkSession, sf: str) -> DataFrame:
+    return C.top_colors_share(_profile(spark, sf), 3)
+
+
+@register("color_signature_count")
+def q_color_signature_count(spark: SparkSession, sf: str) -> DataFrame:
+    return C.color_signature_count(_profile(spark, sf), COLOR_SIGNATURE)
+
+
+@register("most_red_in_group")
+def q_most_red_in_group(spark: SparkSession, sf: str) -> DataFrame:
+    return C.most_of_color(_profile(spark, sf), "Red", RED_GROUP, 5)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
