@@ -378,6 +378,51 @@ _view(
     """,
 )
 
+_view(
+    "f_power",
+    (),
+    """
+    SELECT time,
+           CAST(CASE WHEN k % 97 <> 0 THEN 15 - 3 * abs(m - 7) + k % 5 END AS DOUBLE) AS temperature,
+           CAST(50 + k % 40 AS DOUBLE) AS humidity,
+           CAST((7 * k) % 13 AS DOUBLE) AS wind_speed,
+           CAST(1000 + 100 * (12 - abs(h - 12)) + k % 50 AS DOUBLE) AS power_tenants,
+           CAST(500 + 10 * m AS DOUBLE) AS power_maintenance,
+           CAST(100 * greatest(0, 6 - abs(h - 12)) AS DOUBLE) AS power_solar_panels,
+           CASE WHEN k % 89 <> 0 THEN o_totalprice / 1000 END AS electricity_price
+    FROM (SELECT o_orderkey AS k, o_totalprice,
+                 CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT) * 86400
+                     + (o_orderkey * 3607) % 86400 AS time,
+                 month(o_orderdate) AS m,
+                 ((o_orderkey * 3607) % 86400) // 3600 AS h
+          FROM orders)
+    """,
+)
+
+_view(
+    "f_calendar",
+    ("f_power",),
+    """
+    SELECT *, CAST(month(epoch_ms(time * 1000)) AS INTEGER) AS month,
+           CAST(hour(epoch_ms(time * 1000)) AS INTEGER) AS hour,
+           CAST(dayofweek(epoch_ms(time * 1000)) + 1 AS INTEGER) AS dayofweek
+    FROM f_power
+    """,
+)
+
+_view(
+    "f_pred",
+    (),
+    """
+    SELECT time, hour, CAST(((hour + k % 5 - 2) % 24 + 24) % 24 AS DOUBLE) AS prediction
+    FROM (SELECT o_orderkey AS k,
+                 CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT) * 86400
+                     + (o_orderkey * 3607) % 86400 AS time,
+                 CAST(((o_orderkey * 3607) % 86400) // 3600 AS INTEGER) AS hour
+          FROM orders)
+    """,
+)
+
 
 def _signed(expr: str) -> str:
     return f"CASE WHEN {expr} > 0 THEN '+' || CAST({expr} AS VARCHAR) ELSE CAST({expr} AS VARCHAR) END"
@@ -394,6 +439,14 @@ BEST_TEAMS_PER_LEAGUE = 2
 
 def football_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["scan_parquet"] = with_views(
+        """
+        SELECT competition, season, matchId, eventId, homeTeam, awayTeam,
+               event, eventTeam, eventPeriod, eventTime, tags
+        FROM f_events
+        """,
+        "f_events",
+    )
     q["goal_flags"] = with_views(
         "SELECT matchId, eventId, eventPeriod, eventTime, homeGoal, awayGoal FROM f_flagged",
         "f_flagged",
@@ -636,8 +689,61 @@ def colors_sql() -> dict[str, str]:
     return q
 
 
+SCALED = ("power_tenants", "power_maintenance", "electricity_price")
+
+
+def classify_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["calendar_features"] = with_views("SELECT time, month, hour, dayofweek FROM f_calendar", "f_calendar")
+    seven = ["temperature", "humidity", "wind_speed", "power_tenants", "power_maintenance",
+             "power_solar_panels", "electricity_price"]
+    complete = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in seven)
+    q["drop_incomplete"] = with_views(f"SELECT * FROM f_calendar WHERE {complete} AND month IS NOT NULL", "f_calendar")
+    q["ml_assemble"] = with_views(
+        """
+        SELECT time, [temperature, humidity, wind_speed] AS features FROM f_power
+        WHERE temperature IS NOT NULL AND humidity IS NOT NULL AND wind_speed IS NOT NULL
+        """,
+        "f_power",
+    )
+    # MinMaxScaler to [0, 1]: (x - min) * (1 / (max - min)) + 0, or 0.5 for a
+    # constant column; min / max over the complete rows.
+    clean = " AND ".join(f"{c} IS NOT NULL" for c in SCALED)
+    scaled = ", ".join(
+        f"CASE WHEN mx{i} <> mn{i} THEN ({c} - mn{i}) * (1.0 / (mx{i} - mn{i})) + 0.0 ELSE 0.5 END"
+        for i, c in enumerate(SCALED)
+    )
+    bounds = ", ".join(f"min({c}) AS mn{i}, max({c}) AS mx{i}" for i, c in enumerate(SCALED))
+    q["minmax_scale"] = with_views(
+        f"""
+        SELECT time, [{scaled}] AS scaled
+        FROM (SELECT * FROM f_power WHERE {clean}) CROSS JOIN (SELECT {bounds} FROM f_power WHERE {clean})
+        """,
+        "f_power",
+    )
+    q["eval_accuracy"] = with_views(
+        "SELECT count_if(prediction = hour) / count(*) AS accuracy FROM f_pred", "f_pred"
+    )
+    q["eval_cyclic"] = with_views(
+        """
+        SELECT round(count_if(d = 0) / count(*) * 100, 2) AS correct,
+               round(count_if(d <= 1) / count(*) * 100, 2) AS within_one,
+               round(count_if(d <= 2) / count(*) * 100, 2) AS within_two
+        FROM (SELECT least(abs(CAST(prediction AS INTEGER) - hour), 24 - abs(CAST(prediction AS INTEGER) - hour)) AS d
+              FROM f_pred)
+        """,
+        "f_pred",
+    )
+    q["eval_true_probability"] = with_views(
+        "SELECT round(avg(CASE WHEN prediction = hour THEN 0.6 ELSE 0.4 / 23 END), 4) AS avg_prob FROM f_pred",
+        "f_pred",
+    )
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(classify_sql())
     out.update(colors_sql())
     out.update(players_sql())
     out.update(football_sql())

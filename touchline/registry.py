@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators import classify as CL
 from touchline.operators import colors as C
 from touchline.operators import matches as M
 from touchline.operators import passes as P
@@ -20,7 +21,7 @@ from touchline.operators import sales as S
 from touchline.operators import teams as TM
 from touchline.session import scratch_path
 from touchline.sources import fixtures as fx
-from touchline.sources.readers import read_metadata, read_sales_csv
+from touchline.sources.readers import read_events, read_metadata, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +60,22 @@ def _match_results(spark: SparkSession, sf: str) -> DataFrame:
     return M.match_results(fx.events(spark, sf))
 
 
+EVENT_COLUMNS = [
+    "competition", "season", "matchId", "eventId", "homeTeam", "awayTeam",
+    "event", "eventTeam", "eventPeriod", "eventTime", "tags",
+]
+
+
+@register("scan_parquet")
+def q_scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    """Round trip: the event view written as parquet to the shared checkpoint
+    folder, read back with the explicit event schema and pruned to the columns
+    the jobs use (only those are decoded)."""
+    path = scratch_path(spark, "events-parquet")
+    fx.events(spark, sf).write.parquet(path)
+    return read_events(spark, path).select(*EVENT_COLUMNS)
+
+
 @register("goal_flags")
 def q_goal_flags(spark: SparkSession, sf: str) -> DataFrame:
     return M.goal_flags(fx.events(spark, sf)).select(
@@ -298,6 +315,81 @@ def q_most_red_in_group(spark: SparkSession, sf: str) -> DataFrame:
     return C.most_of_color(_profile(spark, sf), "Red", RED_GROUP, 5)
 
 
+def _power(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.power(spark, sf)
+
+
+@register("calendar_features")
+def q_calendar_features(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.with_calendar(_power(spark, sf)).select("time", "month", "hour", "dayofweek")
+
+
+@register("drop_incomplete")
+def q_drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.drop_incomplete(CL.with_calendar(_power(spark, sf)), list(CL.ALL_SEVEN) + ["month"])
+
+
+@register("ml_assemble")
+def q_ml_assemble(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    clean = CL.drop_incomplete(_power(spark, sf), CL.WEATHER)
+    return CL.assemble(clean, CL.WEATHER).select("time", vector_to_array("features").alias("features"))
+
+
+@register("minmax_scale")
+def q_minmax_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """The min-max scaler fitted on the complete rows and applied to them.
+    (In the classifier pipelines the scaler is a stage fitted on the training
+    part only.)"""
+    from pyspark.ml.functions import vector_to_array
+
+    clean = CL.drop_incomplete(_power(spark, sf), CL.EXTRA_INPUTS)
+    model = CL.minmax_scaler(CL.EXTRA_INPUTS).fit(clean)
+    return model.transform(clean).select("time", vector_to_array("scaledFeatures").alias("scaled"))
+
+
+@register("train_test_split")
+def q_train_test_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _power(spark, sf).select("time", CL.split_flag("time").alias("train"))
+
+
+@register("rf_predict")
+def q_rf_predict(spark: SparkSession, sf: str) -> DataFrame:
+    _, predictions = CL.fit_case(_power(spark, sf), CL.MAIN_CASES[0])
+    return predictions.select("time", "month", "prediction")
+
+
+@register("nb_predict")
+def q_nb_predict(spark: SparkSession, sf: str) -> DataFrame:
+    _, predictions = CL.fit_case(_power(spark, sf), CL.EXTRA_CASES[1])
+    return predictions.select("time", "dayofweek", "prediction")
+
+
+def _fixed_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.predictions(spark, sf)
+
+
+@register("eval_accuracy")
+def q_eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.accuracy(_fixed_predictions(spark, sf), "hour")
+
+
+@register("eval_cyclic")
+def q_eval_cyclic(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.cyclic_accuracy(_fixed_predictions(spark, sf), "hour", 24)
+
+
+@register("eval_true_probability")
+def q_eval_true_probability(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.mean_true_probability(_fixed_predictions(spark, sf), "hour")
+
+
+@register("classifier_report")
+def q_classifier_report(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.run_cases(_power(spark, sf), CL.MAIN_CASES + CL.EXTRA_CASES)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
