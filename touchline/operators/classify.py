@@ -116,10 +116,30 @@ def prepare(series: DataFrame, case: Case) -> DataFrame:
     return drop_incomplete(data, list(case.inputs) + [case.label])
 
 
+def clip_to_training_range(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Clamp ``cols`` of ``test`` into the [min, max] seen in ``train``.
+
+    A scaler fitted on the training part maps unseen values outside [0, 1];
+    multinomial naive Bayes rejects the negative ones. The bounds are 2 numbers
+    per column (what the scaler's own fit computes), read in one aggregation.
+    """
+    bounds = train.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
+    if bounds is None:
+        return test
+    clipped = {}
+    for c in cols:
+        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        if lo is not None and hi is not None:
+            clipped[c] = F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi))
+    return test.withColumns(clipped) if clipped else test
+
+
 def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time") -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part; return the model and its predictions on the test part."""
     train, test = split_train_test(prepare(series, case), key, seed=seed)
     model = build_pipeline(case, seed).fit(train)
+    if case.scaled:
+        test = clip_to_training_range(train, test, case.inputs)
     return model, model.transform(test)
 
 

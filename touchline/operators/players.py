@@ -4,9 +4,10 @@ Plan shape:
 
 * ``player_stints`` works on one row per team and match: the line-up array and
   the three substitution structs hold everything needed to build each
-  player's [start, end) interval, so higher-order functions do it in place -
-  no self-join and no shuffle. The only join is with the match length
-  (one row per match on both sides).
+  player's [start, end) interval, so each player's row is derived in place
+  with plain (code-generated) expressions - no self-join and no shuffle. The
+  only join is with the match length, done at match grain before the rows
+  multiply.
 * ``plus_minus_events`` is an interval join: goals (a handful per match,
   filtered at the scan) equi-joined to stints on ``matchId`` with the range
   condition as the join's residual predicate. A hot match is handled by AQE's
@@ -80,23 +81,12 @@ def substitution_rows(matches: DataFrame) -> DataFrame:
     )
 
 
-def _stints_in_row() -> Column:
-    """Array of (playerId, startMinute, outMinute) for every player who played."""
-    subs = _used_substitutions()
-    lineup = F.col("data.lineup")
-    entered = F.transform(subs, lambda s: s["playerIn"])
-    players = F.array_distinct(F.concat(lineup, entered))
-
-    def minute_where(field: str, player: Column) -> Column:
-        return F.array_min(F.transform(F.filter(subs, lambda s: s[field] == player), lambda s: s["minute"]))
-
-    return F.transform(
-        players,
-        lambda p: F.struct(
-            p.alias("playerId"),
-            F.when(F.array_contains(lineup, p), F.lit(0)).otherwise(minute_where("playerIn", p)).alias("startMinute"),
-            minute_where("playerOut", p).alias("outMinute"),
-        ),
+def _minute_of(field: str, player: Column) -> Column:
+    """Minute of the substitution whose ``field`` (playerIn / playerOut) is
+    ``player``; null if none. A plain expression over the three struct slots,
+    so it is compiled by whole-stage codegen (no lambda)."""
+    return F.least(
+        *[F.when(F.col(f"data.{s}.{field}") == player, F.col(f"data.{s}.minute")) for s in SUBSTITUTIONS]
     )
 
 
@@ -109,24 +99,56 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
     bounds are clamped to the length. ``startClock`` / ``endClock`` give the
     same interval on the half-aware clock used for goals (``endClock`` null =
     on the pitch until the end).
+
+    The length is joined at match grain (one row per match on both sides),
+    before the rows multiply into ~28 players per match, so that join shuffles
+    matches, not stints; the explode itself is a narrow step.
     """
-    stints = team_sides(matches).select(
-        "matchId", "competition", "season", "team", F.inline(_stints_in_row())
+    with_length = matches.join(lengths, "matchId", "left").withColumn(
+        "matchLength", F.coalesce(F.col("matchLength"), F.lit(DEFAULT_MATCH_MINUTES).cast("long"))
     )
-    length = F.coalesce(F.col("matchLength"), F.lit(DEFAULT_MATCH_MINUTES).cast("long"))
-    start = F.least(F.col("startMinute").cast("long"), length)
-    end = F.least(F.coalesce(F.col("outMinute").cast("long"), length), length)
-    return stints.join(lengths, "matchId", "left").select(
+
+    def side(data: str) -> Column:
+        return F.struct(
+            F.col(f"{data}.team").alias("team"),
+            F.col(f"{data}.lineup").alias("lineup"),
+            *[F.col(f"{data}.{sub}").alias(sub) for sub in SUBSTITUTIONS],
+        )
+
+    sides = with_length.select(
         "matchId",
         "competition",
         "season",
-        "team",
+        "matchLength",
+        F.explode(F.array(side("homeTeamData"), side("awayTeamData"))).alias("data"),
+    )
+    entered = F.array_compact(F.array(*[F.col(f"data.{s}.playerIn") for s in SUBSTITUTIONS]))
+    played = sides.select(
+        "matchId",
+        "competition",
+        "season",
+        "matchLength",
+        "data",
+        F.explode(F.array_distinct(F.concat(F.col("data.lineup"), entered))).alias("playerId"),
+    )
+    player = F.col("playerId")
+    start_minute = (
+        F.when(F.array_contains("data.lineup", player), F.lit(0)).otherwise(_minute_of("playerIn", player))
+    )
+    out_minute = _minute_of("playerOut", player)
+    length = F.col("matchLength")
+    end = F.least(F.coalesce(out_minute.cast("long"), length), length)
+    return played.select(
+        "matchId",
+        "competition",
+        "season",
+        F.col("data.team").alias("team"),
         "playerId",
-        F.col("startMinute"),
+        start_minute.alias("startMinute"),
         end.alias("endMinute"),
-        (end - start).alias("minutes"),
-        substitution_clock(F.col("startMinute")).alias("startClock"),
-        F.when(F.col("outMinute").isNotNull(), substitution_clock(F.col("outMinute"))).alias("endClock"),
+        (end - F.least(start_minute.cast("long"), length)).alias("minutes"),
+        substitution_clock(start_minute).alias("startClock"),
+        F.when(out_minute.isNotNull(), substitution_clock(out_minute)).alias("endClock"),
     )
 
 
