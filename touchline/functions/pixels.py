@@ -1,8 +1,9 @@
 """Pixel decoding and naive colour naming as built-in column expressions.
 
 ``pixel_hex`` splits binary image data into one upper-case hex string per
-pixel; ``pixel_color`` names the basic colour of one BGRA pixel. Both run in
-the JVM (``hex``, ``substring``, ``conv``, a literal map), not in Python.
+pixel; ``pixel_color`` names the basic colour of one BGRA pixel. Both are
+plain JVM expressions (``hex``, ``substring``, text comparisons, an array
+lookup), compiled by whole-stage code generation when used outside a lambda.
 """
 
 from __future__ import annotations
@@ -42,11 +43,14 @@ BASIC_COLORS: dict[tuple[int, int, int], str] = {
     (255, 255, 255): "White",
 }
 # Channel rounding thresholds, the opacity cut and the name
-# given to transparent or malformed pixels.
-LOW_CUT, HIGH_CUT = 85, 170
-OPAQUE_FROM = 128
+# given to transparent or malformed pixels. The cuts are compared as two
+# upper-case hex digits (0x55 = 85, 0xAA = 170, 0x80 = 128): for valid hex
+# pairs, text order is numeric order, so no number parsing is needed.
+LOW_CUT, HIGH_CUT = "55", "AA"
+OPAQUE_FROM = "80"
 TRANSPARENT = "None"
 HEX_PIXEL = "^[0-9a-fA-F]{8}"
+LEVELS = (0, 128, 255)
 
 
 def pixel_hex(data: Column, channels: Column) -> Column:
@@ -64,24 +68,22 @@ def pixel_hex(data: Column, channels: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _channel(hex_pixel: Column, pos: int) -> Column:
-    return F.conv(F.substring(hex_pixel, pos, 2), 16, 10).cast("int")
+def _level(pair: Column) -> Column:
+    """Index 0, 1, 2 of the channel rounded to 0, 128 or 255."""
+    return F.when(pair < LOW_CUT, 0).when(pair < HIGH_CUT, 1).otherwise(2)
 
 
-def _rounded(value: Column) -> Column:
-    return F.when(value < LOW_CUT, 0).when(value < HIGH_CUT, 128).otherwise(255)
-
-
-def _palette() -> Column:
-    entries = []
-    for (r, g, b), name in BASIC_COLORS.items():
-        entries += [F.lit(f"{r},{g},{b}"), F.lit(name)]
-    return F.create_map(*entries)
+def _names_by_index() -> Column:
+    """The 27 colour names as an array indexed by red * 9 + green * 3 + blue levels."""
+    names = [BASIC_COLORS[(r, g, b)] for r in LEVELS for g in LEVELS for b in LEVELS]
+    return F.array(*[F.lit(n) for n in names])
 
 
 def pixel_color(hex_pixel: Column) -> Column:
     """Basic colour of a BGRA pixel; ``None`` when alpha < 128 or malformed."""
-    blue, green, red, alpha = (_channel(hex_pixel, p) for p in (1, 3, 5, 7))
-    key = F.concat_ws(",", _rounded(red), _rounded(green), _rounded(blue))
+    h = F.upper(hex_pixel)
+    blue, green, red = (_level(F.substring(h, pos, 2)) for pos in (1, 3, 5))
+    opaque = F.substring(h, 7, 2) >= OPAQUE_FROM
     valid = F.coalesce(hex_pixel.rlike(HEX_PIXEL), F.lit(False))
-    return F.when(valid & (alpha >= OPAQUE_FROM), _palette()[key]).otherwise(F.lit(TRANSPARENT))
+    name = F.element_at(_names_by_index(), red * 9 + green * 3 + blue + 1)
+    return F.when(valid & opaque, name).otherwise(F.lit(TRANSPARENT))

@@ -1,13 +1,15 @@
 """Image colour questions over PNG data joined with JSON metadata.
 
 Plan shape: after the image x metadata equi-join (a size-checked broadcast of
-the metadata when it is small, a sort-merge join otherwise) every image is one
-row, and its whole colour profile is computed *inside that row* with
-higher-order functions: pixel hex strings -> colour names -> per-colour
-counts, sorted. Pixels are never exploded into rows and the binary ``data``
-is dropped right after the profile, so there is no shuffle of pixels at all.
-Each question is then a filter, a top-k (``TakeOrderedAndProject``: k rows per
-partition are merged) or a one-row aggregate over one row per image.
+the metadata when it is small, a sort-merge join otherwise) the pixels of each
+image are generated as rows next to it (``explode`` of pixel positions), named
+by a code-generated expression, and counted per image with one counter per
+colour. All pixels of an image sit in the partition of its row, so the
+map-side partial aggregation emits exactly one row per image: the shuffle
+carries one small row per image - never pixels - and no key can be skewed.
+The binary ``data`` is not carried past the pixel step. Each question is then
+a filter, a top-k (``TakeOrderedAndProject``: k rows per partition are
+merged) or a one-row aggregate over one row per image.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.pixels import TRANSPARENT, pixel_color, pixel_hex
+from touchline.functions.pixels import BASIC_COLORS, TRANSPARENT, pixel_color, pixel_hex
 from touchline.plans.topn import top_k
 
 IMAGE_KEYS = ["filename", "annotation", "group"]
+COLOR_NAMES = sorted(set(BASIC_COLORS.values()))
 
 
 def images_with_metadata(images: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -44,36 +47,61 @@ def pixel_colors(joined: DataFrame) -> DataFrame:
     )
 
 
-def _counted(colors: Column) -> Column:
-    """array<struct<color, pixels>> for each distinct colour, most pixels first
-    (ties by colour name). Sorting structs of (-pixels, color) in natural order
-    avoids a comparator lambda."""
-    names = F.array_distinct(colors)
-    keyed = F.transform(
-        names,
-        lambda c: F.struct(
-            (-F.size(F.filter(colors, lambda x: x == c))).alias("neg"),
-            c.alias("color"),
-        ),
+def pixel_rows(joined: DataFrame) -> DataFrame:
+    """One row per pixel: image keys, pixel position (0-based) and colour.
+
+    The hex digits of the image are computed once, below the generator (an
+    expression in the same ``select`` as ``explode`` would be re-evaluated for
+    every generated pixel), and each pixel's hex is projected once before its
+    colour is named. An image without pixel data keeps one row with a null
+    position.
+    """
+    digits = joined.select(
+        *IMAGE_KEYS, F.hex(F.col("data")).alias("digits"), (F.col("nChannels") * 2).alias("width")
+    )
+    pixels = F.ceil(F.length("digits") / F.col("width")).cast("int")
+    exploded = digits.select(
+        *IMAGE_KEYS,
+        "digits",
+        "width",
+        F.explode_outer(F.when(pixels > 0, F.sequence(F.lit(0), pixels - 1))).alias("pixel"),
+    )
+    hexed = exploded.select(
+        *IMAGE_KEYS,
+        "pixel",
+        F.substring(F.col("digits"), F.col("pixel") * F.col("width") + 1, F.col("width")).alias("px"),
     )
-    return F.transform(
-        F.array_sort(keyed), lambda e: F.struct(e["color"].alias("color"), (-e["neg"]).alias("pixels"))
+    return hexed.select(
+        *IMAGE_KEYS, "pixel", F.when(F.col("pixel").isNotNull(), pixel_color(F.col("px"))).alias("color")
     )
 
 
+def _by_count(entries: list[tuple[str, Column]]) -> Column:
+    """array<struct<color, pixels>> of the colours with pixels, most first
+    (ties by name). Structs of (-pixels, color) sort in natural order."""
+    keyed = F.array(*[F.struct((-count).alias("neg"), F.lit(name).alias("color")) for name, count in entries])
+    present = F.filter(F.array_sort(keyed), lambda e: e["neg"] < 0)
+    return F.transform(present, lambda e: F.struct(e["color"].alias("color"), (-e["neg"]).alias("pixels")))
+
+
 def color_profile(joined: DataFrame) -> DataFrame:
-    """One row per image: total / coloured / transparent pixel counts and
-    ``palette``, the non-transparent colours with counts, most frequent first."""
-    with_colors = pixel_colors(joined)
-    counted = with_colors.select(*IMAGE_KEYS, "colors", _counted(F.col("colors")).alias("counts"))
-    transparent = F.size(F.filter("colors", lambda c: c == TRANSPARENT))
+    """One row per image: total / coloured / transparent pixel counts,
+    ``palette`` (non-transparent colours with counts, most frequent first)
+    and ``counts`` (the same with transparent pixels as ``None``)."""
+    color = F.col("color")
+    counted = pixel_rows(joined).groupBy(*IMAGE_KEYS).agg(
+        F.count("pixel").alias("total_pixels"),
+        F.count_if(color == TRANSPARENT).alias("transparent_pixels"),
+        *[F.count_if(color == name).alias(name) for name in COLOR_NAMES],
+    )
+    palette = [(name, F.col(name)) for name in COLOR_NAMES]
     return counted.select(
         *IMAGE_KEYS,
-        F.size("colors").alias("total_pixels"),
-        (F.size("colors") - transparent).alias("colored_pixels"),
-        transparent.alias("transparent_pixels"),
-        F.filter("counts", lambda e: e["color"] != TRANSPARENT).alias("palette"),
-        "counts",
+        "total_pixels",
+        (F.col("total_pixels") - F.col("transparent_pixels")).alias("colored_pixels"),
+        "transparent_pixels",
+        _by_count(palette).alias("palette"),
+        _by_count(palette + [(TRANSPARENT, F.col("transparent_pixels"))]).alias("counts"),
     )
 
 
@@ -150,7 +178,7 @@ def color_signature_count(profile: DataFrame, colors: Sequence[str]) -> DataFram
 def most_of_color(profile: DataFrame, color: str, group: str, n: int = 5) -> DataFrame:
     """The ``n`` images of ``group`` with most pixels of ``color`` and that count."""
     count = F.aggregate(
-        F.filter("palette", lambda e: e["color"] == color), F.lit(0), lambda acc, e: acc + e["pixels"]
+        F.filter("palette", lambda e: e["color"] == color), F.lit(0).cast("long"), lambda acc, e: acc + e["pixels"]
     )
     candidates = (
         profile.filter(F.col("group") == group)

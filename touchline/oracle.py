@@ -352,7 +352,7 @@ _view(
     "f_hist",
     ("f_pixel_colors",),
     """
-    SELECT filename, annotation, "group", color, CAST(count(*) AS INTEGER) AS pixels
+    SELECT filename, annotation, "group", color, CAST(count(*) AS BIGINT) AS pixels
     FROM f_pixel_colors GROUP BY filename, annotation, "group", color
     """,
 )
@@ -362,9 +362,9 @@ _view(
     ("f_hist",),
     """
     SELECT filename, annotation, "group",
-           CAST(sum(pixels) AS INTEGER) AS total_pixels,
-           CAST(sum(CASE WHEN color <> 'None' THEN pixels ELSE 0 END) AS INTEGER) AS colored_pixels,
-           CAST(sum(CASE WHEN color = 'None' THEN pixels ELSE 0 END) AS INTEGER) AS transparent_pixels
+           CAST(sum(pixels) AS BIGINT) AS total_pixels,
+           CAST(sum(CASE WHEN color <> 'None' THEN pixels ELSE 0 END) AS BIGINT) AS colored_pixels,
+           CAST(sum(CASE WHEN color = 'None' THEN pixels ELSE 0 END) AS BIGINT) AS transparent_pixels
     FROM f_hist GROUP BY filename, annotation, "group"
     """,
 )
