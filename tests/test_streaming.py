@@ -1,0 +1,31 @@
+"""The match-results job on a stream gives the batch answer after each batch."""
+
+from __future__ import annotations
+
+import os
+
+from touchline import schemas
+from touchline.streaming import live_match_results
+
+
+def ev(mid, keeper_team, tags):
+    return ("L", "S", mid, None, "H", "A", "Save attempt", None, keeper_team, None, "1H", 1.0, tags, None, None)
+
+
+def test_results_update_as_files_arrive(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "events")
+    spark.createDataFrame([ev(1, "A", ["Goal"]), ev(2, "H", [])], schemas.EVENTS).write.parquet(src, mode="append")
+    query = live_match_results(spark, src, "live_results_test")
+    try:
+        query.processAllAvailable()
+        first = {r.matchId: (r.homeTeamGoals, r.awayTeamGoals) for r in spark.table("live_results_test").collect()}
+        assert first == {1: (1, 0), 2: (0, 0)}
+        spark.createDataFrame([ev(1, "H", ["Goal"]), ev(1, "A", ["Goal"])], schemas.EVENTS).write.parquet(src, mode="append")
+        query.processAllAvailable()
+        rows = spark.table("live_results_test").collect()
+        latest = {}
+        for r in rows:  # update mode appends changed rows; keep the last per match
+            latest[r.matchId] = (r.homeTeamGoals, r.awayTeamGoals)
+        assert latest == {1: (2, 1), 2: (0, 0)}
+    finally:
+        query.stop()

@@ -1,0 +1,5 @@
+"""Incremental runs of the batch jobs with Structured Streaming."""
+
+from touchline.streaming.live_results import live_match_results, match_results_stream
+
+__all__ = ["live_match_results", "match_results_stream"]

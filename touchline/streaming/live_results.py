@@ -1,0 +1,49 @@
+"""Match results kept up to date while event files arrive.
+
+This is the batch ``match_results`` job unchanged, applied to a streaming
+read of an event folder: Spark keeps the per-match goal counts as state and
+emits the matches whose counts changed in each micro-batch (``update`` mode).
+State and progress live under the shared ``spark.checkpoint.dir``, so a
+restarted query (or a lost executor) resumes without double counting.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from touchline import schemas
+from touchline.operators.matches import match_results
+from touchline.session import scratch_path
+
+
+def match_results_stream(
+    spark: SparkSession, events_path: str, schema: StructType = schemas.EVENTS, files_per_batch: int | None = None
+) -> DataFrame:
+    """Streaming DataFrame of match results over parquet event files in ``events_path``."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return match_results(reader.parquet(events_path))
+
+
+def live_match_results(
+    spark: SparkSession,
+    events_path: str,
+    table_name: str,
+    checkpoint: str | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Start a query that keeps the in-memory table ``table_name`` current.
+
+    ``checkpoint`` defaults to a fresh folder under ``spark.checkpoint.dir``.
+    """
+    results = match_results_stream(spark, events_path, files_per_batch=files_per_batch)
+    return (
+        results.writeStream.outputMode("update")
+        .format("memory")
+        .queryName(table_name)
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table_name}"))
+        .start()
+    )
