@@ -632,7 +632,7 @@ def colors_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_jsonl"] = with_views('SELECT filename AS hexcode, annotation, "group" FROM f_img', "f_img")
     q["image_metadata_join"] = with_views(
-        'SELECT filename, annotation, "group", nChannels, data FROM f_img', "f_img"
+        'SELECT filename, annotation, "group", nChannels, hex(data) AS data_hex FROM f_img', "f_img"
     )
     q["pixel_hex"] = with_views(
         "SELECT filename, list(px ORDER BY i) AS pixels FROM f_pixels GROUP BY filename", "f_pixels"

@@ -270,7 +270,10 @@ def q_scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("image_metadata_join")
 def q_image_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
-    return _joined_images(spark, sf)
+    """The joined rows, pixel bytes shown as upper-case hex text."""
+    return _joined_images(spark, sf).select(
+        "filename", "annotation", "group", "nChannels", F.hex("data").alias("data_hex")
+    )
 
 
 @register("pixel_hex")
