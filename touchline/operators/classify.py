@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from touchline.functions.calendar import calendar_columns
 from touchline.plans.materialize import materialize
+from touchline.plans.parallelism import spread
 
 WEATHER = ("temperature", "humidity", "wind_speed")
 POWER = ("power_tenants", "power_maintenance", "power_solar_panels")
@@ -135,8 +136,12 @@ def clip_to_training_range(train: DataFrame, test: DataFrame, cols: Sequence[str
 
 
 def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time") -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training part; return the model and its predictions on the test part."""
-    train, test = split_train_test(prepare(series, case), key, seed=seed)
+    """Fit on the training part; return the model and its predictions on the test part.
+
+    Tree fitting makes several passes per tree level; an input that arrives
+    in fewer splits than the cluster has cores is spread first.
+    """
+    train, test = split_train_test(spread(prepare(series, case)), key, seed=seed)
     model = build_pipeline(case, seed).fit(train)
     if case.scaled:
         test = clip_to_training_range(train, test, case.inputs)
@@ -206,7 +211,7 @@ def run_cases(series: DataFrame, cases: Sequence[Case], seed: int = 1, key: str
     The calendar columns are computed once and the input is cached for the
     fits; the small report is checkpointed so the cache can be released.
     """
-    base = with_calendar(series).persist()
+    base = spread(with_calendar(series)).persist()
     try:
         rows = []
         for case in cases:

@@ -1,0 +1,21 @@
+"""Spread an input that arrives in too few splits.
+
+A parquet file with a single row group is read by one task however large the
+cluster is, and every narrow step after the scan (joins against broadcast
+tables, explodes, model fitting) inherits that one partition. ``spread``
+round-robins such an input over at least the cluster's default parallelism.
+It only acts when the scan has fewer splits than that, so on a large input -
+thousands of row groups - it is a no-op and adds no shuffle. An explicit
+partition count is kept by AQE (it does not coalesce ``repartition(n)``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
