@@ -107,6 +107,9 @@ def test_image_source_returns_bgra_mode_24(spark, tmp_dir):
     profile = C.color_profile(joined).first()
     assert (profile.annotation, profile.total_pixels, profile.colored_pixels) == ("grinning", 2, 1)
     assert [(e.color, e.pixels) for e in profile.palette] == [("Red", 1)]
+    # counts first, then the metadata join: same answer
+    counted_first = C.color_profile(images, meta).collect()
+    assert [tuple(r) for r in counted_first] == [tuple(profile)]
 
 
 def test_pixel_expressions(spark):

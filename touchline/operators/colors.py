@@ -1,15 +1,15 @@
 """Image colour questions over PNG data joined with JSON metadata.
 
-Plan shape: after the image x metadata equi-join (a size-checked broadcast of
-the metadata when it is small, a sort-merge join otherwise) the pixels of each
-image are generated as rows next to it (``explode`` of pixel positions), named
-by a code-generated expression, and counted per image with one counter per
-colour. All pixels of an image sit in the partition of its row, so the
-map-side partial aggregation emits exactly one row per image: the shuffle
-carries one small row per image - never pixels - and no key can be skewed.
-The binary ``data`` is not carried past the pixel step. Each question is then
-a filter, a top-k (``TakeOrderedAndProject``: k rows per partition are
-merged) or a one-row aggregate over one row per image.
+Plan shape: the pixels of each image are generated as rows next to it
+(``explode`` of pixel positions), named by a code-generated expression and
+counted per image with one counter per colour. All pixels of an image sit in
+the partition of its row, so the map-side partial aggregation emits exactly
+one row per image: the shuffle carries one small row per image - never pixels
+- and no key can be skewed. Only these per-image counts are joined with the
+metadata (broadcast when Spark's size check allows, sort-merge otherwise), so
+image bytes never cross a shuffle whatever the size of the metadata. Each
+question is then a filter, a top-k (``TakeOrderedAndProject``: k rows per
+partition are merged) or a one-row aggregate over one row per image.
 """
 
 from __future__ import annotations
@@ -26,15 +26,23 @@ IMAGE_KEYS = ["filename", "annotation", "group"]
 COLOR_NAMES = sorted(set(BASIC_COLORS.values()))
 
 
-def images_with_metadata(images: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Image rows joined to their metadata by file name stem = ``hexcode``."""
-    files = images.select(
+def image_files(images: DataFrame) -> DataFrame:
+    """(filename, nChannels, data) from ``image`` structs; filename = stem of the origin path."""
+    return images.select(
         F.regexp_extract("image.origin", r"([^/]+)\.png$", 1).alias("filename"),
         F.col("image.nChannels").alias("nChannels"),
         F.col("image.data").alias("data"),
     )
-    meta = metadata.select("hexcode", "annotation", "group")
-    return files.join(meta, files.filename == meta.hexcode).select(
+
+
+def _attach_metadata(rows: DataFrame, metadata: DataFrame) -> DataFrame:
+    meta = metadata.select(F.col("hexcode").alias("filename"), "annotation", "group")
+    return rows.join(meta, "filename")
+
+
+def images_with_metadata(images: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Image rows joined to their metadata by file name stem = ``hexcode``."""
+    return _attach_metadata(image_files(images), metadata).select(
         "filename", "annotation", "group", "nChannels", "data"
     )
 
@@ -47,8 +55,8 @@ def pixel_colors(joined: DataFrame) -> DataFrame:
     )
 
 
-def pixel_rows(joined: DataFrame) -> DataFrame:
-    """One row per pixel: image keys, pixel position (0-based) and colour.
+def pixel_rows(files: DataFrame, keys: Sequence[str] = ("filename",)) -> DataFrame:
+    """One row per pixel: image ``keys``, pixel position (0-based) and colour.
 
     The hex digits of the image are computed once, below the generator (an
     expression in the same ``select`` as ``explode`` would be re-evaluated for
@@ -56,24 +64,21 @@ def pixel_rows(joined: DataFrame) -> DataFrame:
     colour is named. An image without pixel data keeps one row with a null
     position.
     """
-    digits = joined.select(
-        *IMAGE_KEYS, F.hex(F.col("data")).alias("digits"), (F.col("nChannels") * 2).alias("width")
-    )
+    keys = list(keys)
+    digits = files.select(*keys, F.hex(F.col("data")).alias("digits"), (F.col("nChannels") * 2).alias("width"))
     pixels = F.ceil(F.length("digits") / F.col("width")).cast("int")
     exploded = digits.select(
-        *IMAGE_KEYS,
+        *keys,
         "digits",
         "width",
         F.explode_outer(F.when(pixels > 0, F.sequence(F.lit(0), pixels - 1))).alias("pixel"),
     )
     hexed = exploded.select(
-        *IMAGE_KEYS,
+        *keys,
         "pixel",
         F.substring(F.col("digits"), F.col("pixel") * F.col("width") + 1, F.col("width")).alias("px"),
     )
-    return hexed.select(
-        *IMAGE_KEYS, "pixel", F.when(F.col("pixel").isNotNull(), pixel_color(F.col("px"))).alias("color")
-    )
+    return hexed.select(*keys, "pixel", F.when(F.col("pixel").isNotNull(), pixel_color(F.col("px"))).alias("color"))
 
 
 def _by_count(entries: list[tuple[str, Column]]) -> Column:
@@ -84,19 +89,19 @@ def _by_count(entries: list[tuple[str, Column]]) -> Column:
     return F.transform(present, lambda e: F.struct(e["color"].alias("color"), (-e["neg"]).alias("pixels")))
 
 
-def color_profile(joined: DataFrame) -> DataFrame:
+def color_counts(files: DataFrame, keys: Sequence[str] = ("filename",)) -> DataFrame:
     """One row per image: total / coloured / transparent pixel counts,
     ``palette`` (non-transparent colours with counts, most frequent first)
     and ``counts`` (the same with transparent pixels as ``None``)."""
     color = F.col("color")
-    counted = pixel_rows(joined).groupBy(*IMAGE_KEYS).agg(
+    counted = pixel_rows(files, keys).groupBy(*keys).agg(
         F.count("pixel").alias("total_pixels"),
         F.count_if(color == TRANSPARENT).alias("transparent_pixels"),
         *[F.count_if(color == name).alias(name) for name in COLOR_NAMES],
     )
     palette = [(name, F.col(name)) for name in COLOR_NAMES]
     return counted.select(
-        *IMAGE_KEYS,
+        *keys,
         "total_pixels",
         (F.col("total_pixels") - F.col("transparent_pixels")).alias("colored_pixels"),
         "transparent_pixels",
@@ -105,6 +110,21 @@ def color_profile(joined: DataFrame) -> DataFrame:
     )
 
 
+def color_profile(images: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """Per-image colour counts with ``annotation`` and ``group``.
+
+    With ``metadata``, ``images`` holds ``image`` structs (the image source);
+    the counts are computed first and only they are joined. Without it,
+    ``images`` is an already joined frame (filename, annotation, group,
+    nChannels, data).
+    """
+    if metadata is None:
+        return color_counts(images, IMAGE_KEYS)
+    return _attach_metadata(color_counts(image_files(images)), metadata).select(
+        *IMAGE_KEYS, "total_pixels", "colored_pixels", "transparent_pixels", "palette", "counts"
+    )
+
+
 def color_histogram(profile: DataFrame) -> DataFrame:
     """(image, colour) -> pixel count, transparent pixels included as ``None``.
 

@@ -256,7 +256,7 @@ def _joined_images(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf: str) -> DataFrame:
-    return C.color_profile(_joined_images(spark, sf))
+    return C.color_profile(fx.images(spark, sf), fx.image_meta(spark, sf))
 
 
 @register("scan_jsonl")
