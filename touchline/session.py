@@ -29,15 +29,45 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+MiB = 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MiB, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition settings for jobs reading about ``input_bytes``.
+
+    Scans are split at ``partition_bytes``; shuffles start with about one
+    partition per ``partition_bytes`` of input (an upper bound: partial
+    aggregation and filters shrink the data), AQE then merges partitions
+    below half that size and splits join partitions above four times it. At
+    100 TB this gives the 100 000-partition cap rather than the default 200,
+    whose tasks would each have to sort hundreds of gigabytes.
+    """
+    shuffle = max(200, min(max_shuffle_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+    }
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "touchline",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the settings the jobs expect."""
+    """Create (or reuse) a session with the settings the jobs expect.
+
+    ``input_bytes`` (the size of the data to read) sizes scan splits and
+    shuffle partitions with ``sizing_conf``; ``shuffle_partitions`` overrides.
+    """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    if input_bytes is not None:
+        conf.update(sizing_conf(input_bytes))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -90,6 +120,7 @@ def set_time_zone(spark: SparkSession, tz: str = "UTC") -> None:
 __all__ = [
     "DEFAULT_CONF",
     "build_session",
+    "sizing_conf",
     "ensure_checkpoint_dir",
     "scratch_path",
     "set_time_zone",
