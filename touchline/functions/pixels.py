@@ -56,16 +56,17 @@ LEVELS = (0, 128, 255)
 def pixel_hex(data: Column, channels: Column) -> Column:
     """Array of hex strings, ``channels`` bytes (2 * channels digits) each.
 
-    Empty or missing data gives an empty array (``sequence`` would fail on an
-    empty range).
+    The hex text is cut into consecutive chunks by one regular expression
+    (``.{1,W}``: a short last chunk is kept, as with a partial pixel). Empty
+    or missing data gives an empty array.
     """
     digits = F.hex(data)
     width = channels * 2
-    starts = F.sequence(F.lit(1), F.length(digits), width)
+    chunk = F.concat(F.lit("(.{1,"), width.cast("string"), F.lit("})"))
     usable = (F.length(digits) > 0) & (channels > 0)
-    return F.when(
-        usable, F.transform(starts, lambda p: F.substring(digits, p, width))
-    ).otherwise(F.array().cast("array<string>"))
+    return F.when(usable, F.regexp_extract_all(digits, chunk, F.lit(1))).otherwise(
+        F.array().cast("array<string>")
+    )
 
 
 def _level(pair: Column) -> Column:
