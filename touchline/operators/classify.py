@@ -205,28 +205,37 @@ def evaluate(predictions: DataFrame, label: str, period: int) -> DataFrame:
     )
 
 
-def run_cases(series: DataFrame, cases: Sequence[Case], seed: int = 1, key: str = "time") -> DataFrame:
-    """Fit and evaluate every case; one report row per case.
+def _report_row(case: Case, predictions: DataFrame) -> DataFrame:
+    return evaluate(predictions, case.label, case.period).select(
+        F.lit(case.classifier).alias("classifier"),
+        F.lit(",".join(case.inputs)).alias("input"),
+        F.lit(case.label).alias("label"),
+        "correct",
+        "within_one",
+        "within_two",
+        "avg_prob",
+    )
+
+
+def run_cases(
+    series: DataFrame, cases: Sequence[Case], seed: int = 1, key: str = "time", parallelism: int = 4
+) -> DataFrame:
+    """Fit and evaluate every case; one report row per case, in case order.
 
     The calendar columns are computed once and the input is cached for the
-    fits; the small report is checkpointed so the cache can be released.
+    fits. The cases are independent, so up to ``parallelism`` of them are
+    fitted at the same time from driver threads (as ``pyspark.ml`` tuning
+    does): a tree fit is many short jobs, and concurrent fits fill the cores
+    the others leave idle between jobs. The small report is checkpointed so
+    the cache can be released.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     base = spread(with_calendar(series)).persist()
     try:
-        rows = []
-        for case in cases:
-            _, predictions = fit_case(base, case, seed, key)
-            rows.append(
-                evaluate(predictions, case.label, case.period).select(
-                    F.lit(case.classifier).alias("classifier"),
-                    F.lit(",".join(case.inputs)).alias("input"),
-                    F.lit(case.label).alias("label"),
-                    "correct",
-                    "within_one",
-                    "within_two",
-                    "avg_prob",
-                )
-            )
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key), cases))
+        rows = [_report_row(case, predictions) for case, (_, predictions) in zip(cases, fitted)]
         report = rows[0]
         for r in rows[1:]:
             report = report.unionByName(r)
