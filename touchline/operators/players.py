@@ -24,6 +24,7 @@ from touchline.functions.football import (
     away_goal,
     event_clock,
     home_goal,
+    is_goal,
     substitution_clock,
 )
 from touchline.plans.topn import top_n_per_group
@@ -180,7 +181,9 @@ def goal_team(events: DataFrame) -> DataFrame:
     """One row per goal with the scoring team and the half-aware clock."""
     scorer = F.when(home_goal(), F.col("homeTeam")).when(away_goal(), F.col("awayTeam"))
     return (
-        events.select(
+        # goal events first: a predicate on the event's own columns reaches the scan
+        events.filter(is_goal())
+        .select(
             "matchId",
             "competition",
             "season",
