@@ -226,8 +226,8 @@ _view(
     "f_lineup",
     ("f_sides",),
     """
-    SELECT matchId, competition, season, team, b + t.i AS playerId, 0 AS startMinute
-    FROM f_sides CROSS JOIN range(1, 12) t(i)
+    SELECT matchId, competition, season, team, b + unnest(range(1, 12)) AS playerId, 0 AS startMinute
+    FROM f_sides
     """,
 )
 
@@ -249,14 +249,15 @@ _view(
     "f_players",
     (),
     """
-    SELECT CAST(n.n_nationkey AS BIGINT) * 100 + t.s AS playerId, 'P' || t.s AS firstName,
-           n.n_name AS lastName, r.r_name AS birthArea,
-           CASE WHEN t.s IN (1, 12) THEN 'Goalkeeper'
-                WHEN t.s IN (2, 3, 4, 5, 13) THEN 'Defender'
-                WHEN t.s IN (6, 7, 8, 9, 14) THEN 'Midfielder'
+    SELECT CAST(n_nationkey AS BIGINT) * 100 + s AS playerId, 'P' || s AS firstName,
+           n_name AS lastName, r_name AS birthArea,
+           CASE WHEN s IN (1, 12) THEN 'Goalkeeper'
+                WHEN s IN (2, 3, 4, 5, 13) THEN 'Defender'
+                WHEN s IN (6, 7, 8, 9, 14) THEN 'Midfielder'
                 ELSE 'Forward' END AS role,
            'right' AS foot
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey CROSS JOIN range(1, 15) t(s)
+    FROM (SELECT n.n_nationkey, n.n_name, r.r_name, unnest(range(1, 15)) AS s
+          FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
     """,
 )
 
@@ -327,7 +328,8 @@ _view(
     ("f_img",),
     """
     SELECT filename, annotation, "group", i, substr(h, i * 8 + 1, 8) AS px
-    FROM (SELECT *, hex(data) AS h FROM f_img) CROSS JOIN LATERAL (SELECT unnest(range(0, length(h) // 8)) AS i)
+    FROM (SELECT filename, annotation, "group", h, unnest(range(0, length(h) // 8)) AS i
+          FROM (SELECT *, hex(data) AS h FROM f_img))
     """,
 )
 
@@ -713,11 +715,11 @@ def classify_sql() -> dict[str, str]:
         f"CASE WHEN mx{i} <> mn{i} THEN ({c} - mn{i}) * (1.0 / (mx{i} - mn{i})) + 0.0 ELSE 0.5 END"
         for i, c in enumerate(SCALED)
     )
-    bounds = ", ".join(f"min({c}) AS mn{i}, max({c}) AS mx{i}" for i, c in enumerate(SCALED))
+    bounds = ", ".join(f"min({c}) OVER () AS mn{i}, max({c}) OVER () AS mx{i}" for i, c in enumerate(SCALED))
     q["minmax_scale"] = with_views(
         f"""
         SELECT time, [{scaled}] AS scaled
-        FROM (SELECT * FROM f_power WHERE {clean}) CROSS JOIN (SELECT {bounds} FROM f_power WHERE {clean})
+        FROM (SELECT *, {bounds} FROM f_power WHERE {clean})
         """,
         "f_power",
     )
