@@ -84,3 +84,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL over the whole tables, where SQL can express a query."""
+    from touchline.llm.oracle import ORACLE
+
+    return dict(ORACLE)
