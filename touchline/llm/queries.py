@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, duck_bpe, license_index, line_crf, pfor, secret_ledger
+from touchline.llm import chat, cover_tree, duck_bpe, hyperminhash, license_index, line_crf, pfor, secret_ledger, suffix_ranks, winnowing
 from touchline.llm.common import stored, table
 from touchline.session import scratch_path
 
@@ -77,6 +77,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan(docs, index).drop("places")
 
 
+@register("op6_hyperminhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+@register("op7_cover_tree")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@register("op8_winnowing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        winnowing.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+@register("op9_suffix_ranks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_ranks.remove_repeats(table(spark, sf_dir, "documents"), 200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op10_duck_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duck_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
