@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
@@ -30,9 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps that are over; it
+    acts when the driver collects its garbage, by itself only every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 

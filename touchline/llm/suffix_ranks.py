@@ -13,14 +13,16 @@ distance, and about two in ``window`` positions are anchors.
 
  1. rank by the ``HEAD`` bytes from the anchor; unique ranks drop out;
  2. pair that rank with the whole stretch of text that the anchor's positions
-    cover; stretches met twice are decided for all their positions at once;
- 3. single stretches whose first rank is shared are ranked position by position
-    by their ``length`` bytes, past the threshold, against one copy of every
-    other stretch of that rank.
+    cover; a stretch met twice is decided for all its positions at once; if a
+    rank has other stretches, one copy of each goes on;
+ 3. cut those into runs of ``RUN`` positions at fixed distances from the anchor
+    and rank by the bytes that all positions of a run share; unique ranks drop
+    out, runs whose stretch is met twice are decided, the others go on;
+ 4. rank what is left position by position by its ``length`` bytes.
 
-Ranks are 64-bit names (two of them, 128 bits, in the last rounds) given by a
-hash of the bytes and brought together by Spark's shuffle, not dense numbers
-from a total sort.
+Ranks are names given by a 64-bit hash of the bytes and brought together by
+Spark's shuffle, not dense numbers from a total sort; in the last round the
+name of the round before is part of the key (128 bits).
 
 Defined results: null text is empty; texts shorter than ``length`` lose
 nothing; repeated rows are each other's copies; null ids are kept; an empty
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 from touchline.llm.common import PrefixHash, map_batches, mix, stored, text_bytes
 
 GRAM = 16
-HEAD = 64
+HEAD = 32
+RUN = 16
 _U = np.uint64
 
 
@@ -46,12 +49,13 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def anchors(texts: list[bytes], length: int, head: int) -> tuple[np.ndarray, ...]:
-    """(text, first position, last position, rank of the head, rank of the whole
-    stretch) of each anchor; positions are relative to the text."""
+    """(text, first position, last position, anchor minus first position, rank
+    of the head, rank of the whole stretch) of each anchor; positions are
+    relative to the text."""
     buf = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     at = np.concatenate(([0], np.cumsum(sizes)))
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U),) * 2
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, _U),) * 2
     if not (sizes >= length).any():
         return none
     window = length - head + 1
@@ -76,7 +80,7 @@ def anchors(texts: list[bytes], length: int, head: int) -> tuple[np.ndarray, ...
     lo, hi, a, text = p[first], p[last], anchor[first], text[first]
     h = prefix.of(a, a + head)
     whole = mix(prefix.of(lo, hi + length) ^ mix((a - lo).astype(_U) * _U(length + 1) + (hi - lo).astype(_U)))
-    return text, lo - at[text], hi - at[text], h, whole
+    return text, lo - at[text], hi - at[text], a - lo, h, whole
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -92,45 +96,85 @@ def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
     rows = _keyed(docs, doc_id, text)
 
     def sample(batch: pa.RecordBatch):
-        t, lo, hi, h, whole = anchors(text_bytes(batch.column(2)), length, head)
+        t, lo, hi, back, h, whole = anchors(text_bytes(batch.column(2)), length, head)
         index = pa.array(t)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), pa.array(lo.astype(np.int32)), pa.array((hi - lo).astype(np.int32)), _signed(h), _signed(whole)], ["k", "v", "lo", "more", "head", "whole"])
-
-    sampled = map_batches(rows.select("k", "v", "text"), sample, "k long, v int, lo int, more int, head long, whole long")
-    # 1: heads met twice
-    shared = sampled.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head")
-    kept = stored(sampled.join(shared, "head"), "heads")
-    # 2: stretches met twice are decided
-    stretches = kept.groupBy("head", "whole").agg(F.count("*").alias("n"), F.min(F.struct("k", "v", "lo", "more")).alias("one"))
-    stretches = stored(stretches, "stretches")
-    decided = kept.join(stretches.where("n > 1").select("whole"), "whole", "left_semi").select("k", "v", "lo", (F.col("lo") + F.col("more")).alias("hi"))
-    # 3: the others, position by position, against one copy of each stretch of their head
-    mixed = stretches.groupBy("head").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("head")
-    open_ones = stretches.join(mixed, "head").select("one.*", "n")
-    asked = open_ones.groupBy("k", "v").agg(F.collect_list(F.struct("lo", "more", "n")).alias("asked"))
-    texts = rows.select("k", "v", "text").join(asked.hint("shuffle_hash"), ["k", "v"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), _int(lo), _int(hi - lo), _int(back), pa.array(np.zeros(len(t), bool)), _signed(h), _signed(whole)], names)
+
+    names = ["k", "v", "lo", "more", "back", "done", "rank", "stretch"]
+    schema = "k long, v int, lo int, more int, back int, done boolean, rank long, stretch long"
+    sampled = map_batches(rows.select("k", "v", "text"), sample, schema)
+    shared = sampled.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
+    kept = stored(sampled.join(shared, "rank"), "heads")
+    decided, left = _settle(kept)
+
+    def runs(batch: pa.RecordBatch):
+        """Runs of positions at distances [RUN * s, RUN * s + RUN) from the anchor."""
+        prefix, at, row, lo, more, back, done = _asked(batch)
+        anchor = at[row] + lo + back
+        low, high = (back - more) // RUN, back // RUN
+        order = np.repeat(np.arange(len(row)), high - low + 1)
+        run = low[order] + np.arange(len(order)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+        near = np.maximum(run * RUN, (back - more)[order])
+        far = np.minimum(run * RUN + RUN - 1, back[order])
+        a = anchor[order]
+        common = mix(prefix.of(a - run * RUN, a - run * RUN - RUN + 1 + length) ^ mix(run.astype(_U) + _U(1)))
+        stretch = mix(prefix.of(a - far, a - near + length) ^ mix(near.astype(_U) * _U(length + 1) + far.astype(_U)))
+        index = pa.array(row[order])
+        start = lo[order] + back[order] - far
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), _int(start), _int(far - near), _int(far), pa.array(done[order]), _signed(common), _signed(stretch)], names)
+
+    runs_left = stored(map_batches(_with_texts(rows, left), runs, schema), "runs")
+    more_decided, left = _settle(runs_left)
 
     def positions(batch: pa.RecordBatch):
-        texts = text_bytes(batch.column(2))
-        buf = np.frombuffer(b"".join(texts), np.uint8)
-        at = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        asked = batch.column(3)
-        flat = asked.flatten()
-        row = np.repeat(np.arange(len(texts)), np.diff(asked.offsets.to_numpy()))
-        lo, more, n = (flat.field(i).to_numpy().astype(np.int64) for i in range(3))
+        prefix, at, row, lo, more, back, done = _asked(batch)
         order = np.repeat(np.arange(len(row)), more + 1)
-        p = lo[order] + np.arange(len(order)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+        step = np.arange(len(order)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+        p = lo[order] + step
         s = at[row[order]] + p
-        prefix = PrefixHash(buf)
-        half = length // 2
-        ranks = prefix.of(s, s + length), mix(prefix.of(s, s + half) * _U(3) + prefix.of(s + half, s + length))
         index = pa.array(row[order])
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), pa.array(p.astype(np.int32)), pa.array(n[order] > 1), *map(_signed, ranks)], ["k", "v", "p", "done", "r1", "r2"])
+        half = length // 2
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), _int(p), pa.array(done[order]), _signed(prefix.of(s, s + half)), _signed(prefix.of(s + half, s + length))], ["k", "v", "lo", "done", "first", "second"])
 
-    ranked = stored(map_batches(texts.select("k", "v", "text", "asked"), positions, "k long, v int, p int, done boolean, r1 long, r2 long"), "ranks")
-    met = ranked.groupBy("r1", "r2").agg(F.count("*").alias("m")).where("m > 1").select("r1", "r2")
-    single = ranked.where("not done").join(met, ["r1", "r2"], "left_semi").select("k", "v", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    return decided.unionByName(single).groupBy("k", "v").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    ranked = stored(map_batches(_with_texts(rows, left), positions, "k long, v int, lo int, done boolean, first long, second long"), "ranks")
+    met = ranked.groupBy("first", "second").agg(F.count("*").alias("n")).where("n > 1").select("first", "second")
+    single = ranked.where("not done").join(met, ["first", "second"], "left_semi").select("k", "v", "lo", F.col("lo").alias("hi"))
+    return decided.unionByName(more_decided).unionByName(single).groupBy("k", "v").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+
+
+def _int(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.int32))
+
+
+def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decided position ranges (k, v, lo, hi), and one row of each stretch of
+    the ranks that have an undecided stretch beside others. ``done`` rows are
+    there for comparison only."""
+    stretches = rows.groupBy("rank", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("k", "v", "lo", "more", "back", "done")).alias("one"))
+    stretches = stored(stretches, "stretches")
+    twice = stretches.where("n > 1").select("rank", "stretch")
+    decided = rows.where("not done").join(twice, ["rank", "stretch"], "left_semi").select("k", "v", "lo", (F.col("lo") + F.col("more")).alias("hi"))
+    known = F.col("one.done") | (F.col("n") > 1)
+    mixed = stretches.groupBy("rank").agg(F.count("*").alias("m"), F.bool_and(known).alias("known")).where("m > 1 and not known").select("rank")
+    left = stretches.join(mixed, "rank").select("one.k", "one.v", "one.lo", "one.more", "one.back", known.alias("done"))
+    return decided, left
+
+
+def _with_texts(rows: DataFrame, left: DataFrame) -> DataFrame:
+    """The texts that ``left`` asks about, each with its list (no longer than
+    the text)."""
+    asked = left.groupBy("k", "v").agg(F.collect_list(F.struct("lo", "more", "back", "done")).alias("asked"))
+    return rows.join(asked.hint("shuffle_hash"), ["k", "v"]).select("k", "v", "text", "asked")
+
+
+def _asked(batch: pa.RecordBatch) -> tuple:
+    texts = text_bytes(batch.column(2))
+    at = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    asked = batch.column(3)
+    flat = asked.flatten()
+    row = np.repeat(np.arange(len(texts)), np.diff(asked.offsets.to_numpy()))
+    lo, more, back = (flat.field(i).to_numpy().astype(np.int64) for i in range(3))
+    return PrefixHash(np.frombuffer(b"".join(texts), np.uint8)), at, row, lo, more, back, flat.field(3).to_numpy(zero_copy_only=False)
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
