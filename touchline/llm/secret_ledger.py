@@ -120,13 +120,17 @@ class Ledger:
         find(texts, self.rules).write.mode("append").parquet(self.findings_path)
         unseen.select("blob", F.col("todo").alias("rules")).write.mode("append").parquet(self.scanned_path)
 
+    def spans(self) -> DataFrame:
+        """(blob, spans array<struct<start, kind_no, end, kind>>) of the blobs
+        with findings, by start, then kind as listed."""
+        number = F.coalesce(*[F.when(F.col("kind") == r.kind, F.lit(i)) for i, r in enumerate(self.rules)])
+        return self.findings().groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", number.alias("kind_no"), "end", "kind"))).alias("spans"))
+
     def report(self, versions: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
         """(path, blob, spans array<struct<start, kind_no, end, kind>>) of every
-        row of ``versions``, spans by start, then kind as listed."""
-        number = F.coalesce(*[F.when(F.col("kind") == r.kind, F.lit(i)) for i, r in enumerate(self.rules)])
-        spans = self.findings().groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", number.alias("kind_no"), "end", "kind"))).alias("spans"))
+        row of ``versions``."""
         rows = versions.select(F.col(path).alias("path"), blob_of(F.col(text).cast("string")).alias("blob"))
-        return rows.join(spans, "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).alias("spans"))
+        return rows.join(self.spans(), "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).alias("spans"))
 
 
 def redact(text: Column, spans: Column) -> Column:

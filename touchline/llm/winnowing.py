@@ -95,10 +95,11 @@ def contaminated_words(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
     same = F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.text_hash") == F.col("c.text_hash"))
     texts = docs.select(*key, F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     texts = texts.alias("t").join(candidates.hint("shuffle_hash").alias("c"), same, "left_semi")
-    texts = stored(texts.select("doc_id", "text_hash", words(fold(F.col("text"))).alias("w")).dropDuplicates(["doc_id", "text_hash"]), "candidate-words")
+    texts = stored(texts.select("doc_id", "text_hash", words(fold(F.col("text"))).alias("w")).dropDuplicates(["doc_id", "text_hash"]).withColumn("h", word_hashes(F.col("w"))), "candidate-words")
     found = []
     for k, _ in classes:
-        at = texts.select("doc_id", "text_hash", F.posexplode(grams(word_hashes(F.col("w")), k)).alias("pos", "fp"))
+        # the word hashes are a column: inside the gram's lambda they would be computed again for every position
+        at = texts.select("doc_id", "text_hash", F.posexplode(grams(F.col("h"), k)).alias("pos", "fp"))
         found.append(at.join(checked(prints.where(F.col("k") == k)), "fp").select("doc_id", "text_hash", "item_id", "item_words", (F.col("pos") - F.col("item_pos")).alias("offset")))
     diagonals = found[0]
     for x in found[1:]:
@@ -107,7 +108,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
 
     # 3: extension along each diagonal: "1" where the words are equal
     same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.text_hash") == F.col("x.text_hash"))
-    pairs = diagonals.alias("d").join(texts.alias("x"), same)
+    pairs = diagonals.alias("d").join(texts.select("doc_id", "text_hash", "w").alias("x"), same)
     lead = F.greatest(F.lit(0), -F.col("offset"))  # item words before the document begins
     part = F.slice("w", F.greatest(F.lit(1), F.col("offset") + 1), F.size("item_words") - lead)
     equal = F.array_join(F.zip_with(part, F.slice("item_words", lead + 1, F.size("item_words")), lambda a, b: F.when(a == b, "1").otherwise("0")), "")
