@@ -14,7 +14,10 @@ others (``HUBS`` orders, dealt over the bands, so that a class meets several):
 pass 1 compares members with hubs only and contracts the links found. Pass 2
 covers the rest exactly: in every band whose members are still in several
 components, the members outside its largest component are compared with all
-members of other components. Candidates first pass the collision-corrected
+members of other components. Bands of up to ``SMALL`` members do so by a join on
+the band; larger ones bring the members of all bands with the same largest
+component together once, in blocks of ``BLOCK``, and compare blocks with blocks
+of outside members inside a task, so no pair is shuffled. Candidates first pass the collision-corrected
 estimate with a margin of six standard errors; links are confirmed on full sets.
 
 Defined results: null and empty texts and texts without words have empty sets
@@ -29,6 +32,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +46,8 @@ BANDS = BUCKETS // ROWS
 MANTISSA = 10
 VALUE_BITS = 40
 HUBS = 6
+SMALL = 32
+BLOCK = 2048
 
 _U = np.uint64
 
@@ -169,14 +175,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # what the hubs didn't settle
     placed = shared.select("band", "id").join(linked, F.col("id") == F.col("vertex"), "left").select("band", "id", F.coalesce("component", "id").alias("component"))
     counts = placed.groupBy("band", "component").agg(F.count("*").alias("m"))
-    largest = counts.groupBy("band").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("top.component").alias("top"))
+    largest = counts.groupBy("band").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts"), F.sum("m").alias("size")).where("parts > 1").select("band", F.col("top.component").alias("top"), "size")
     open_rows = stored(placed.join(largest, "band"), "open-bands")
-    outside = open_rows.where("component <> top")
-    rest = outside.alias("x").join(open_rows.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.top")) | (F.col("x.id") < F.col("y.id"))))
+    little = open_rows.where(F.col("size") <= SMALL)
+    outside = little.where("component <> top")
+    rest = outside.alias("x").join(little.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.top")) | (F.col("x.id") < F.col("y.id"))))
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = rest.join(first, ["a", "b"], "left_anti")
+    large = _compare_blocks(open_rows.where(F.col("size") > SMALL), classes, bare, shingle, percent)
     more = _confirm(rest, classes, bare, shingle, percent)
-    parts = connected_components(links.unionByName(more))
+    parts = connected_components(links.unionByName(more).unionByName(large))
 
     found = classes.join(parts, F.col("id") == F.col("vertex"), "left").select("sequence", F.coalesce("component", "id").alias("component_id"))
     out = sketches.select("doc_id", "n", "sequence").join(found, "sequence", "left")
@@ -190,6 +198,46 @@ def _texts_of(rows: DataFrame, need: DataFrame) -> DataFrame:
     return stored(rows.join(ids, rows.doc_id == ids.id, "left_semi").select(F.col("doc_id").alias("id"), "text").where("text is not null"), "texts")
 
 
+def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of members outside a band's largest component with members
+    of other components, for ``rows`` (id, component, top). A member needs one
+    link with each other component, so the likeliest come first."""
+    arena = rows.groupBy("top", "id").agg(F.first("component").alias("component"))
+    sizes = arena.groupBy("top").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("top")).alias("n_out"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    arena = arena.join(sizes, "top").select("top", "id", "component", blocks("n").alias("p"), blocks("n_out").alias("q"))
+    dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = arena.select("top", "id", "component", dealt("p").alias("x"), every("q").alias("y"), F.lit(False).alias("out"))
+    outer = arena.where("component <> top").select("top", "id", "component", every("p").alias("x"), dealt("q").alias("y"), F.lit(True).alias("out"))
+    full = inner.unionByName(outer).join(classes.select("id", "n", "regs"), "id").join(texts, "id").select("top", "x", "y", "id", "component", "out", "n", "regs", "text")
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates(["id", "out"])
+        sets = shingle_sets([normal_words(t.encode()) for t in group.text], shingle)
+        regs = np.frombuffer(b"".join(group.regs), np.uint16).reshape(-1, BUCKETS)
+        ids, component, n = group.id.to_numpy(), group.component.to_numpy(), group.n.to_numpy()
+        inside = np.flatnonzero(~group.out.to_numpy())
+        t = percent / 100
+        found = []
+        for i in np.flatnonzero(group.out.to_numpy()):
+            j = inside[(component[inside] != component[i]) & (100 * np.minimum(n[inside], n[i]) >= percent * np.maximum(n[inside], n[i]))]
+            if not len(j):
+                continue
+            guess, used = estimate(regs[i][None, :], regs[j], n[i], n[j])
+            likely = np.flatnonzero((used < 32) | (guess >= t - 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1))))
+            met: set[int] = set()
+            for k in j[likely[np.argsort(-guess[likely], kind="stable")]]:
+                if component[k] not in met:
+                    both_n = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                    if 100 * both_n >= percent * (len(sets[i]) + len(sets[k]) - both_n):
+                        met.add(component[k])
+                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return stored(full.groupBy("top", "x", "y").applyInPandas(compare, "a long, b long"), "block-links")
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose estimate and then whose full sets reach percent."""
     side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"r_{x}"))
