@@ -1,0 +1,154 @@
+"""Near-duplicates, vectors, decontamination, repeated substrings and the pipeline."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from touchline.llm import cover_tree, hyperminhash, suffix_ranks, winnowing
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _components(ids, links):
+    up = {i: i for i in ids}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {i: root(i) for i in ids}
+
+
+# --- 6
+
+
+def _near_copies(n, seed=0):
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(n):
+        words = list(base) if i % 3 else [f"o{i}x{j}" for j in range(rng.integers(1, 90))]
+        for j in rng.integers(0, len(words), rng.integers(0, 9)):
+            words[j] = f"e{rng.integers(1000)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(hyperminhash, "SMALL", 4)  # both ways of comparing
+    rows = [*_near_copies(120), (500, ""), (501, None), (502, "Solo"), (503, "solo"), (503, "solo"), (None, "w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1))
+    got = hyperminhash.near_duplicates(docs, shingle=2).collect()
+    sets = {}
+    for i, t in rows:
+        ws = (t or "").lower().split()
+        sets[i] = set(zip(ws, ws[1:], strict=False)) if len(ws) > 1 else {tuple(ws)} if ws else set()
+    ids = [i for i in sets if i is not None]
+    links = [(a, b) for a in ids for b in ids if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = _components(ids, links)
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id)
+    assert hyperminhash.near_duplicates(no_docs).count() == 0
+    assert hyperminhash.near_duplicates(odd_docs).count() == 8
+
+
+def test_estimate_is_close():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    a, b = np.unique(np.append(shared, rng.integers(0, 2**63, 500, dtype=np.uint64))), np.unique(np.append(shared, rng.integers(0, 2**63, 500, dtype=np.uint64)))
+    regs = hyperminhash.registers([a, b])
+    j, used = hyperminhash.estimate(regs[:1], regs[1:], np.array([len(a)]), np.array([len(b)]))
+    assert used[0] == hyperminhash.BUCKETS and abs(j[0] - 0.8) < 0.12
+
+
+# --- 7
+
+
+def test_vectors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "BLOCK", 64)
+    rng = np.random.default_rng(0)
+    v = rng.normal(size=(150, 8))
+    v[50:90] = v[:40] + 0.2 * rng.normal(size=(40, 8))
+    v[90:140] = v[0] + 0.05 * rng.normal(size=(50, 8))
+    v[140:150] = v[1] * 3
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(v)]
+    odd = [(200, None, 0), (201, [0.0] * 8, 0), (202, [float("nan")] * 8, 0), (203, [1.0] * 3, 0), (204, [None] * 8, 0), (None, v[0].tolist(), 0), (205, [], 0)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, n_links int")
+    got = {r.vec_id: r for r in cover_tree.near_vectors(df).collect()}
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    g = (u @ u.T >= 0.9) & ~np.eye(len(v), dtype=bool)
+    want = _components(range(len(v)), zip(*np.nonzero(g), strict=True))
+    for i in range(len(v)):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (g[i].sum(), want[i], want[i] == i)
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(200, 206))
+    assert cover_tree.near_vectors(df.limit(0)).count() == 0
+
+
+# --- 8
+
+
+def test_decontamination_equals_brute_force(spark, odd_docs, no_docs):
+    item = " ".join(f"q{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item), (2, "Short item, five WORDS here"), (3, ""), (4, None), (1, item), (5, " ".join(["same"] * 20))], "item_id long, text string")
+    texts = {1: "x " + " ".join(f"Q{i}" for i in range(5, 20)) + " y", 2: " ".join(f"q{i}" for i in range(12)), 3: "a short ITEM five words here b", 4: " ".join(["same"] * 15), 5: "ok", 6: "", 7: None, 8: (item + " ") * 2, 9: "short item five words"}
+    docs = spark.createDataFrame([*texts.items(), (1, texts[1]), (None, item)], "doc_id long, text string").withColumn("item_id", F.lit(0))
+    got = winnowing.contaminated_words(docs, items).collect()
+    want = {1: (17, 15, ["1"]), 2: (12, 0, []), 3: (7, 5, ["2"]), 4: (15, 15, ["5"]), 5: (1, 0, []), 6: (0, 0, []), 7: (0, 0, []), 8: (60, 60, ["1"]), 9: (4, 0, []), None: (30, 30, ["1"])}
+    assert len(got) == 11
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == want
+    assert winnowing.contaminated_words(no_docs, items).count() == 0
+    assert {r.n_hit for r in winnowing.contaminated_words(odd_docs, items.limit(0)).collect()} == {0}
+
+
+# --- 9
+
+
+def test_repeats_equal_brute_force(spark, no_docs):
+    rng = np.random.default_rng(3)
+    some = lambda n: "".join(rng.choice(list("abcé "), n))
+    common, other = some(90), some(300)
+    rows = [(i, some(int(rng.integers(0, 200))) + (common if i % 2 else other[i : 250 + i]) + some(40)) for i in range(12)]
+    rows += [(20, "a" * 400), (21, common * 2), (22, None), (23, ""), (24, "short"), (24, "short"), (None, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k", F.lit(1))
+    length = 60
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    count = {}
+    for _, b in raw:
+        for p in range(len(b) - length + 1):
+            count[b[p : p + length]] = count.get(b[p : p + length], 0) + 1
+    want = []
+    for i, b in raw:
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - length + 1):
+            if count[b[p : p + length]] > 1:
+                gone[p : p + length] = True
+        runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        want.append((i, len(b), int(gone.sum()), runs, bytes(np.frombuffer(b, np.uint8)[~gone])))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_ranks.remove_repeats(docs, length).collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[4])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert suffix_ranks.remove_repeats(no_docs).count() == 0
+
+
+# --- pipeline
+
+
+def test_pipeline_stages_take_effect(spark, odd_docs):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns, name
+        assert 0 < kept.count() <= docs.count()
+        docs = kept
+    odd = corpus_pipeline.secrets(spark, odd_docs, SMALL)
+    assert odd.count() == 8 and odd.where("doc_id = 3 and text like '%[assign]%'").count() == 2
+    assert corpus_pipeline.STAGES[-1][1](spark, odd_docs, SMALL).count() == 8
