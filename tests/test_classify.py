@@ -93,3 +93,27 @@ def test_report_has_a_row_per_case(spark):
         ("RandomForest", "month"), ("RandomForest", "dayofweek"), ("NaiveBayes", "dayofweek")
     ]
     assert all(r.correct <= r.within_one <= r.within_two for r in report)
+
+
+@pytest.mark.parametrize("classifier,scaled", [("RandomForest", False), ("NaiveBayes", True)])
+def test_classes_that_do_not_begin_at_zero_are_learned(spark, classifier, scaled):
+    rows = [(t, float(t % 3 == 0), float(t % 3 == 1), float(t % 3 == 2), t % 3 + 1) for t in range(600)]
+    df = spark.createDataFrame(rows, "time long, a double, b double, c double, dayofweek int")
+    _, got = CL.fit_case(df, CL.Case("dayofweek", ("a", "b", "c"), classifier=classifier, scaled=scaled))
+    assert got.where("prediction <> dayofweek").count() == 0 and got.count() > 0
+
+
+def test_forest_is_the_same_for_every_input_layout(spark):
+    from touchline.sources import fixtures as fx
+
+    series = fx.power(spark, SF_SMALL)
+    answers = []
+    for n in (2, 9):
+        _, got = CL.fit_case(series.repartition(n), CL.MAIN_CASES[0])
+        answers.append({r.time: r.prediction for r in got.select("time", "prediction").collect()})
+    assert answers[0] == answers[1]
+
+
+def test_unseen_class_counts_as_probability_zero(spark):
+    df = spark.createDataFrame([(0, [0.9, 0.1]), (5, [0.9, 0.1])], "hour int, p array<double>").withColumn("probability", array_to_vector("p"))
+    assert CL.mean_true_probability(df, "hour").first().avg_prob == 0.45

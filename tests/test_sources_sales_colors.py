@@ -9,6 +9,7 @@ import struct
 import zlib
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchline import schemas
@@ -71,9 +72,31 @@ def test_best_publisher_of_empty_input_is_empty(spark, tmp_dir):
     assert S.publisher_yearly_totals(df).count() == 0
 
 
-def test_top_group_generic(spark):
-    df = spark.createDataFrame([("x", 1.0), ("y", None), ("z", 1.0)], "g string, v double")
-    assert [r.g for r in S.top_group(df, "g", "v").collect()] == ["x"]
+def test_null_group_is_a_group(spark):
+    rows = [(None, "2001-01-01", 9.0), ("a", "2001-02-01", 5.0), ("b", "2002-01-01", 1.0)]
+    df = spark.createDataFrame(rows, "g string, d string, v double").withColumn("d", F.col("d").cast("date"))
+    best = S.missing_measure_count(df, "g", "d", "v").collect()
+    assert [(r.g, r.missing) for r in best] == [(None, 0)]
+    assert [(r.year, r.v) for r in S.yearly_totals(df, "g", "d", ["v"]).collect()] == [(2001, 9.0)]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "wide.csv")
+    with open(path, "w") as f:
+        f.write("extra|publisher|release_date|total_sales|na_sales\nx|p|2001-01-01|2.00|1.50\n")
+    row = read_sales_csv(spark, path).first()
+    assert (row.publisher, float(row.na_sales), float(row.total_sales)) == ("p", 1.5, 2.0)
+    with open(path, "w") as f:
+        f.write("publisher|release_date|total_sales\np|2001-01-01|2.00\n")
+    with pytest.raises(ValueError, match="na_sales"):
+        read_sales_csv(spark, path)
+
+
+def test_undecodable_image_keeps_its_row(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "bad one.PNG"), "wb") as f:
+        f.write(b"no picture")
+    found = C.color_counts(C.image_files(read_images(spark, tmp_dir))).collect()
+    assert [(r.filename, r.total_pixels) for r in found] == [("bad one", 0)]
 
 
 # ---------------------------------------------------------------- images

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from touchline.functions.calendar import calendar_columns
 from touchline.plans.materialize import materialize
-from touchline.plans.parallelism import spread
 
 WEATHER = ("temperature", "humidity", "wind_speed")
 POWER = ("power_tenants", "power_maintenance", "power_solar_panels")
@@ -57,6 +56,14 @@ EXTRA_CASES = (
 )
 
 
+#: Number of partitions that models are fitted on (see ``by_key``); raise it
+#: with the training data, as another number is another forest.
+FIT_PARTITIONS = 16
+LABEL_INDEX = "__label"
+#: Smallest value of each label; model classes count from there.
+FIRST_VALUE = {"month": 1, "hour": 0, "dayofweek": 1}
+
+
 def with_calendar(series: DataFrame, time_col: str = "time", zone: str | None = None) -> DataFrame:
     """Add ``month``, ``hour`` and ``dayofweek`` computed from epoch seconds."""
     return series.withColumns(calendar_columns(time_col, zone))
@@ -101,13 +108,15 @@ def build_pipeline(case: Case, seed: int = 1) -> Pipeline:
     if case.scaled:
         stages.append(MinMaxScaler(inputCol="features", outputCol="scaledFeatures"))
         features = "scaledFeatures"
+    return Pipeline(stages=[*stages, _classifier(case, features, seed)])
+
+
+def _classifier(case: Case, features: str, seed: int):
     if case.classifier == "RandomForest":
-        stages.append(RandomForestClassifier(labelCol=case.label, featuresCol=features, seed=seed))
-    elif case.classifier == "NaiveBayes":
-        stages.append(NaiveBayes(labelCol=case.label, featuresCol=features))
-    else:
-        raise ValueError(f"unknown classifier {case.classifier!r}")
-    return Pipeline(stages=stages)
+        return RandomForestClassifier(labelCol=LABEL_INDEX, featuresCol=features, seed=seed)
+    if case.classifier == "NaiveBayes":
+        return NaiveBayes(labelCol=LABEL_INDEX, featuresCol=features)
+    raise ValueError(f"unknown classifier {case.classifier!r}")
 
 
 def prepare(series: DataFrame, case: Case) -> DataFrame:
@@ -117,35 +126,47 @@ def prepare(series: DataFrame, case: Case) -> DataFrame:
     return drop_incomplete(data, list(case.inputs) + [case.label])
 
 
-def clip_to_training_range(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Clamp ``cols`` of ``test`` into the [min, max] seen in ``train``.
-
-    A scaler fitted on the training part maps unseen values outside [0, 1];
-    multinomial naive Bayes rejects the negative ones. The bounds are 2 numbers
-    per column (what the scaler's own fit computes), read in one aggregation.
-    """
-    bounds = train.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
-    if bounds is None:
-        return test
-    clipped = {}
-    for c in cols:
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        if lo is not None and hi is not None:
-            clipped[c] = F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi))
-    return test.withColumns(clipped) if clipped else test
-
-
-def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time") -> tuple[PipelineModel, DataFrame]:
+def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time", placed: bool = False) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part; return the model and its predictions on the test part.
 
-    Tree fitting makes several passes per tree level; an input that arrives
-    in fewer splits than the cluster has cores is spread first.
+    The model is fitted on 0-based label indices (Spark's naive Bayes numbers
+    classes from 0), predictions are label values again. ``placed`` says that
+    the rows come from ``by_key`` already.
     """
-    train, test = split_train_test(spread(prepare(series, case)), key, seed=seed)
-    model = build_pipeline(case, seed).fit(train)
+    train, test = split_train_test(prepare(series if placed else by_key(series, key), case), key, seed=seed)
+    train = train.withColumn(LABEL_INDEX, F.col(case.label) - FIRST_VALUE.get(case.label, 0))
     if case.scaled:
-        test = clip_to_training_range(train, test, case.inputs)
-    return model, model.transform(test)
+        model = _fit_scaled(train, case, seed)
+    else:
+        model = build_pipeline(case, seed).fit(train)
+    back = F.col("prediction") + FIRST_VALUE.get(case.label, 0)
+    return model, model.transform(test).withColumn("prediction", back)
+
+
+def by_key(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt over ``partitions`` by a hash of ``key`` and ordered within:
+    the forest's samples depend on both, so its answer is the same on every
+    cluster and for every layout of the input."""
+    rest = [c for c in df.columns if c != key]
+    return df.repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rest) if rest else F.lit(0))
+
+
+def _fit_scaled(train: DataFrame, case: Case, seed: int) -> PipelineModel:
+    """Scaler and classifier. Naive Bayes refuses the negative values that a
+    scaler gives below the training minimum, so its model raises inputs to that
+    minimum first; other classifiers get them as they are."""
+    scaling = minmax_scaler(case.inputs).fit(train)
+    scaler = scaling.stages[-1]
+    stages = list(scaling.stages)
+    if case.classifier == "NaiveBayes":
+        raised = [f"greatest(`{c}`, {float(low)!r}D) AS `__{c}`" for c, low in zip(case.inputs, scaler.originalMin.toArray())]
+        stages = [
+            SQLTransformer(statement=f"SELECT *, {', '.join(raised)} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"__{c}" for c in case.inputs], outputCol="features"),
+            scaler,
+        ]
+    front = PipelineModel(stages)
+    return PipelineModel([*stages, _classifier(case, "scaledFeatures", seed).fit(front.transform(train))])
 
 
 # ---------------------------------------------------------------- metrics
@@ -181,15 +202,17 @@ def cyclic_accuracy(predictions: DataFrame, label: str, period: int) -> DataFram
 def _cyclic_measures(label: str, period: int) -> list[Column]:
     d = cyclic_distance(F.col("prediction").cast("int"), F.col(label).cast("int"), period)
     return [
-        F.round(_share(d == 0), 2).alias("correct"),
+        F.round(_share(F.col("prediction").cast("int") == F.col(label).cast("int")), 2).alias("correct"),
         F.round(_share(d <= 1), 2).alias("within_one"),
         F.round(_share(d <= 2), 2).alias("within_two"),
     ]
 
 
 def _true_probability(label: str) -> Column:
-    """Probability the model gave to the true class (vector index = label value)."""
-    return F.get(vector_to_array(F.col("probability")), F.col(label).cast("int"))
+    """Probability the model gave to the true class (vector index = label minus
+    its first value); 0 for a class it never saw."""
+    index = F.col(label).cast("int") - FIRST_VALUE.get(label, 0)
+    return F.coalesce(F.get(vector_to_array(F.col("probability")), index), F.lit(0.0))
 
 
 def mean_true_probability(predictions: DataFrame, label: str) -> DataFrame:
@@ -231,10 +254,10 @@ def run_cases(
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    base = spread(with_calendar(series)).persist()
+    base = by_key(with_calendar(series), key).persist()
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key), cases))
+            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key, placed=True), cases))
         rows = [_report_row(case, predictions) for case, (_, predictions) in zip(cases, fitted)]
         report = rows[0]
         for r in rows[1:]:

@@ -26,10 +26,16 @@ IMAGE_KEYS = ["filename", "annotation", "group"]
 COLOR_NAMES = sorted(set(BASIC_COLORS.values()))
 
 
+def _stem(origin: Column) -> Column:
+    """Last segment of a path, percent signs decoded, without its extension."""
+    last = F.try_url_decode(F.replace(F.element_at(F.split(origin, "/"), -1), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(last, r"(?<=.)\.[^.]*$", "")
+
+
 def image_files(images: DataFrame) -> DataFrame:
     """(filename, nChannels, data) from ``image`` structs; filename = stem of the origin path."""
     return images.select(
-        F.regexp_extract("image.origin", r"([^/]+)\.png$", 1).alias("filename"),
+        _stem(F.col("image.origin")).alias("filename"),
         F.col("image.nChannels").alias("nChannels"),
         F.col("image.data").alias("data"),
     )
@@ -47,10 +53,10 @@ def images_with_metadata(images: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-def pixel_colors(joined: DataFrame) -> DataFrame:
+def pixel_colors(joined: DataFrame, keys: Sequence[str] = IMAGE_KEYS) -> DataFrame:
     """Colour name of every pixel, as an array per image (pixel order kept)."""
     return joined.select(
-        *IMAGE_KEYS,
+        *keys,
         F.transform(pixel_hex(F.col("data"), F.col("nChannels")), pixel_color).alias("colors"),
     )
 
@@ -58,25 +64,23 @@ def pixel_colors(joined: DataFrame) -> DataFrame:
 def pixel_rows(files: DataFrame, keys: Sequence[str] = ("filename",)) -> DataFrame:
     """One row per pixel: image ``keys``, pixel position (0-based) and colour.
 
-    The hex digits of the image are computed once, below the generator (an
-    expression in the same ``select`` as ``explode`` would be re-evaluated for
-    every generated pixel), and each pixel's hex is projected once before its
-    colour is named. An image without pixel data keeps one row with a null
-    position.
+    Each pixel's bytes are cut from the binary (by address, so the cost is
+    linear in the pixels; cutting text would walk from its start every time)
+    and its hex is projected once before its colour is named. An image without
+    pixel data keeps one row with a null position.
     """
     keys = list(keys)
-    digits = files.select(*keys, F.hex(F.col("data")).alias("digits"), (F.col("nChannels") * 2).alias("width"))
-    pixels = F.ceil(F.length("digits") / F.col("width")).cast("int")
-    exploded = digits.select(
+    pixels = F.ceil(F.try_divide(F.length("data"), F.col("nChannels"))).cast("int")
+    exploded = files.select(
         *keys,
-        "digits",
-        "width",
+        "data",
+        "nChannels",
         F.explode_outer(F.when(pixels > 0, F.sequence(F.lit(0), pixels - 1))).alias("pixel"),
     )
     hexed = exploded.select(
         *keys,
         "pixel",
-        F.substring(F.col("digits"), F.col("pixel") * F.col("width") + 1, F.col("width")).alias("px"),
+        F.hex(F.substring(F.col("data"), F.col("pixel") * F.col("nChannels") + 1, F.col("nChannels"))).alias("px"),
     )
     return hexed.select(*keys, "pixel", F.when(F.col("pixel").isNotNull(), pixel_color(F.col("px"))).alias("color"))
 

@@ -112,7 +112,8 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
     def side(data: str) -> Column:
         return F.struct(
             F.col(f"{data}.team").alias("team"),
-            F.col(f"{data}.lineup").alias("lineup"),
+            # a side without a line-up still has its substitutes
+            F.coalesce(F.col(f"{data}.lineup"), F.array()).alias("lineup"),
             *[F.col(f"{data}.{sub}").alias(sub) for sub in SUBSTITUTIONS],
         )
 

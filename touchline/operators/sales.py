@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.plans.materialize import materialize
-
 
 def released_between(df: DataFrame, lo: str, hi: str, date_col: str = "release_date") -> DataFrame:
     """Rows whose date lies in ``[lo, hi]`` (inclusive); null dates drop out.
@@ -29,12 +27,12 @@ def released_between(df: DataFrame, lo: str, hi: str, date_col: str = "release_d
     return df.filter(d.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
 
 
-def _total(df: DataFrame, measure: str) -> Column:
-    """Sum that is exact for decimals (widened to 38 digits) and 2-decimal rounded otherwise."""
+def _exact(df: DataFrame, measure: str) -> Column:
+    """A total of ``measure``, exact for decimals (widened to 38 digits) and 2-decimal rounded otherwise."""
     dtype = df.schema[measure].dataType
     if isinstance(dtype, T.DecimalType):
-        return F.sum(measure).cast(T.DecimalType(38, dtype.scale))
-    return F.round(F.sum(measure), 2)
+        return F.col(measure).cast(T.DecimalType(38, dtype.scale))
+    return F.round(measure, 2)
 
 
 def group_year_grain(
@@ -42,25 +40,15 @@ def group_year_grain(
 ) -> DataFrame:
     """Pre-aggregate to one row per (group, year): sums, titles, missing ``missing_of`` values.
 
-    Rows without a group value belong to no group and are left out here.
+    Rows without a group value are a group of their own.
     """
-    return df.filter(F.col(group).isNotNull()).groupBy(F.col(group), F.year(date_col).alias("year")).agg(
+    return df.groupBy(F.col(group), F.year(date_col).alias("year")).agg(
         *[F.sum(m).alias(m) for m in measures],
         F.count(F.lit(1)).alias("titles"),
         F.count_if(F.col(missing_of).isNull()).alias("missing"),
     )
 
 
-def top_group(df: DataFrame, group: str, measure: str, total_name: str = "total") -> DataFrame:
-    """The single group with the highest total of ``measure`` (one-row DataFrame).
-
-    Null totals sort last; ties go to the smallest group name. Empty input
-    gives an empty frame, not an error.
-    """
-    totals = df.groupBy(group).agg(F.sum(measure).alias(total_name))
-    return totals.orderBy(F.col(total_name).desc_nulls_last(), F.col(group).asc()).limit(1)
-
-
 def best_of_grain(grain: DataFrame, group: str, measure: str) -> DataFrame:
     """One-row frame: the best group of a (group, year) grain by ``measure``,
     with the totals of every grain column."""
@@ -69,31 +57,30 @@ def best_of_grain(grain: DataFrame, group: str, measure: str) -> DataFrame:
     return totals.orderBy(F.col(measure).desc_nulls_last(), F.col(group).asc()).limit(1)
 
 
-def best_group_by_year(
-    df: DataFrame, group: str, date_col: str, measures: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """(grain, best): the (group, year) aggregate and the one-row best group by ``measures[0]``."""
-    grain = materialize(group_year_grain(df, group, date_col, measures, measures[0]))
-    return grain, best_of_grain(grain, group, measures[0])
-
-
 def missing_measure_count(df: DataFrame, group: str, date_col: str, measure: str) -> DataFrame:
     """The best group by ``measure`` and how many of its rows lack ``measure``."""
-    grain, best = best_group_by_year(df, group, date_col, [measure])
+    best = best_of_grain(group_year_grain(df, group, date_col, [measure], measure), group, measure)
     return best.select(group, "missing")
 
 
 def yearly_totals(df: DataFrame, group: str, date_col: str, measures: Sequence[str]) -> DataFrame:
-    """Per year, the totals of ``measures`` for the best group by ``measures[0]``, year ascending."""
-    grain, best = best_group_by_year(df, group, date_col, measures)
-    rows = grain.join(F.broadcast(best.select(group)), group)
-    out = rows.groupBy("year").agg(*[_total(rows, m).alias(m) for m in measures])
-    return out.orderBy("year")
+    """Per year, the totals of ``measures`` for the best group by ``measures[0]``, year ascending.
+
+    The years of a group are kept beside its total (as many entries as years),
+    so one scan and one aggregation by group serve both.
+    """
+    grain = group_year_grain(df, group, date_col, measures, measures[0])
+    years = F.array_agg(F.struct("year", *measures)).alias("years")
+    groups = grain.groupBy(group).agg(F.sum(measures[0]).alias("total"), years)
+    best = groups.orderBy(F.col("total").desc_nulls_last(), F.col(group).asc()).limit(1)
+    rows = best.select(F.inline("years"))
+    return rows.select("year", *[_exact(df, m).alias(m) for m in measures]).orderBy("year")
 
 
 def best_publisher(sales: DataFrame) -> DataFrame:
     """Publisher with the highest North-American sales, with that total."""
-    _, best = best_group_by_year(sales, "publisher", "release_date", ["na_sales"])
+    grain = group_year_grain(sales, "publisher", "release_date", ["na_sales"], "na_sales")
+    best = best_of_grain(grain, "publisher", "na_sales")
     return best.select("publisher", F.col("na_sales").cast(T.DecimalType(38, 2)).alias("na_total"))
 
 

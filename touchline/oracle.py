@@ -558,7 +558,7 @@ def sales_sql() -> dict[str, str]:
     q["sales_missing_count"] = with_views(
         """
         SELECT w.publisher, CAST(count_if(w.na_sales IS NULL) AS BIGINT) AS missing
-        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher = b.publisher
+        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher IS NOT DISTINCT FROM b.publisher
         GROUP BY w.publisher
         """,
         "f_best_publisher",
@@ -568,7 +568,7 @@ def sales_sql() -> dict[str, str]:
         SELECT CAST(year(w.release_date) AS INTEGER) AS year,
                CAST(sum(w.na_sales) AS DECIMAL(38, 2)) AS na_total,
                CAST(sum(w.total_sales) AS DECIMAL(38, 2)) AS global_total
-        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher = b.publisher
+        FROM f_sales_window w JOIN f_best_publisher b ON w.publisher IS NOT DISTINCT FROM b.publisher
         GROUP BY year(w.release_date)
         """,
         "f_best_publisher",

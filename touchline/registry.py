@@ -280,12 +280,12 @@ def q_image_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
 def q_pixel_hex(spark: SparkSession, sf: str) -> DataFrame:
     from touchline.functions.pixels import pixel_hex
 
-    return _joined_images(spark, sf).select("filename", pixel_hex(F.col("data"), F.col("nChannels")).alias("pixels"))
+    return C.image_files(fx.images(spark, sf)).select("filename", pixel_hex(F.col("data"), F.col("nChannels")).alias("pixels"))
 
 
 @register("pixel_color")
 def q_pixel_color(spark: SparkSession, sf: str) -> DataFrame:
-    return C.pixel_colors(_joined_images(spark, sf)).select("filename", "colors")
+    return C.pixel_colors(C.image_files(fx.images(spark, sf)), ["filename"])
 
 
 @register("color_histogram")

@@ -32,17 +32,17 @@ DEFAULT_CONF: dict[str, str] = {
 MiB = 1024 * 1024
 
 
-def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MiB, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MiB) -> dict[str, str]:
     """Partition settings for jobs reading about ``input_bytes``.
 
     Scans are split at ``partition_bytes``; shuffles start with about one
     partition per ``partition_bytes`` of input (an upper bound: partial
     aggregation and filters shrink the data), AQE then merges partitions
     below half that size and splits join partitions above four times it. At
-    100 TB this gives the 100 000-partition cap rather than the default 200,
+    100 TB this gives about 400 000 partitions rather than the default 200,
     whose tasks would each have to sort hundreds of gigabytes.
     """
-    shuffle = max(200, min(max_shuffle_partitions, -(-input_bytes // partition_bytes)))
+    shuffle = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -113,16 +113,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/touchline-{name}-{uuid.uuid4().hex}"
 
 
-def set_time_zone(spark: SparkSession, tz: str = "UTC") -> None:
-    spark.conf.set("spark.sql.session.timeZone", tz)
-
-
 __all__ = [
     "DEFAULT_CONF",
     "build_session",
     "sizing_conf",
     "ensure_checkpoint_dir",
     "scratch_path",
-    "set_time_zone",
 ]
 

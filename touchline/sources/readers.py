@@ -7,7 +7,7 @@ Each reader returns a lazily evaluated DataFrame, so a later ``select`` or
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from touchline import schemas
 
@@ -19,14 +19,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 
 
 def read_sales_csv(spark: SparkSession, path: str, schema: StructType = schemas.SALES, sep: str = "|") -> DataFrame:
-    """Delimited sales file with a header line; no schema inference pass."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    """Delimited sales file with a header line; the columns of ``schema`` are
+    found by name, in any order and among others. Only the header is read to
+    place them; a column that is missing, or a file whose header differs from
+    the first one's, is an error."""
+    lines = spark.read.option("header", True).option("sep", sep)
+    header = lines.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    wanted = {f.name: f for f in schema.fields}
+    placed = StructType([wanted.get(name, StructField(name, StringType())) for name in header])
+    return lines.schema(placed).option("enforceSchema", False).option("mode", "FAILFAST").csv(path).select(*schema.fieldNames())
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -52,13 +56,14 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, schemas.SERIES)
 
 
-def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> DataFrame:
+def read_images(spark: SparkSession, path: str) -> DataFrame:
     """PNG (or any format the JVM decoder knows) files as ``image`` structs.
 
     Spark's image source decodes on the executors and returns pixel bytes in
-    BGR(A) order with OpenCV mode 24 for 4-channel 8-bit images.
+    BGR(A) order with OpenCV mode 24 for 4-channel 8-bit images. A file that
+    can't be decoded keeps its row, without pixels.
     """
-    return spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
+    return spark.read.format("image").load(path)
 
 
 def read_metadata(spark: SparkSession, path: str, schema: StructType = schemas.IMAGE_META) -> DataFrame:
