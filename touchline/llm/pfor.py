@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ SEGMENT_IDS = 1 << 20
 PERCENTILE = 0.9
 #: Chunks whose ids a worker keeps (bounds its memory, not the result).
 CACHE_CHUNKS = 600_000
+#: Chunks asked of the library in one call.
+JOINED = 2_000
 
 SEGMENT = "shard int, segment int, shard_start long, n_ids long, doc_ids array<long>, n_tokens array<long>, block_starts binary, blocks binary"
 
@@ -163,35 +166,67 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.limit = limit
         self.known: dict[str, bytes | None] = {}
+        # "\u0120" stands for a space in byte-level vocabularies
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.opens = np.array([x.startswith("\u0120") for x in names])
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def _spaced(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk behind a space. Chunks hold no space, so in many of
+        them joined by spaces every chunk starts at the token that opens with one."""
+        out: list[bytes] = []
+        for a in range(0, len(chunks), JOINED):
+            part = chunks[a : a + JOINED]
+            ids = np.frombuffer(self._library([" " + " ".join(part)])[0], "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(part):
+                raise ValueError("the tokenizer doesn't split words by the byte-level pattern")
+            raw, at = ids.tobytes(), (4 * starts).tolist()
+            out += [raw[x:y] for x, y in zip(at, [*at[1:], len(raw)], strict=True)]
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (no nulls) as little-endian unsigned 32-bit integers."""
+        if not len(texts):
+            return []
+        if len(self.known) > self.limit:
+            self.known.clear()
         known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        # a first chunk has no space before it: "" stands for its missing space
-        cut = [x.split(" ") for x in texts]
-        heads = [c[0] for c in cut]
-        new = {c for chunks in cut for c in chunks[1:]}.difference(known)
+        cut = pc.split_pattern(texts, " ")
+        at = cut.offsets.to_numpy()
+        chunks = cut.flatten()
+        # a first chunk has no space before it
+        head_at = at[:-1]
+        heads = chunks.take(pa.array(head_at)).to_pylist()
+        later = np.ones(len(chunks), bool)
+        later[head_at] = False
+        coded = chunks.filter(pa.array(later)).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [c for c in distinct if c not in known]
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
         known.update(dict.fromkeys(new))
-        known.update(zip(plain, self._library([" " + c for c in plain]), strict=True))
-        out: list[bytes | None] = []
-        for chunks in cut:
-            try:
-                out.append(b"".join([known[c] for c in chunks[1:]]))
-            except TypeError:  # a chunk without ids of its own
-                out.append(None)
-        simple = [i for i, x in enumerate(out) if x is not None and not (len(cut[i]) > 1 and heads[i][-1:].isspace())]
-        whole = sorted(set(range(len(texts))).difference(simple))
-        for i, x in zip(simple, self._library([heads[i] for i in simple]), strict=True):
-            out[i] = x + out[i]
-        for i, x in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = x
-        return out
+        known.update(zip(plain, self._spaced(plain), strict=True))
+        answers = [known[c] for c in distinct]
+        # texts with a chunk that has no ids of its own, or a head that ends in white space, go whole
+        code = np.empty(len(chunks), np.int64)
+        code[later] = coded.indices.to_numpy()
+        code[head_at] = len(distinct) + np.arange(len(heads))
+        unknown = np.array([x is None for x in answers] + [h[-1:].isspace() for h in heads], bool)
+        alone = np.diff(at) == 1
+        unknown[len(distinct) :] &= ~alone
+        whole = np.add.reduceat(unknown[code].astype(np.int64), head_at) > 0
+        asked = [t.as_py() if w else h for t, w, h in zip(texts, whole.tolist(), heads, strict=True)]
+        answers = [x or b"" for x in answers] + self._library(asked)
+        length = np.array([len(x) // 4 for x in answers])
+        starts = np.cumsum(length) - length
+        n = length[code]
+        n[later & np.repeat(whole, np.diff(at))] = 0
+        before = np.cumsum(n) - n
+        ids = np.frombuffer(b"".join(answers), "<u4")[np.repeat(starts[code] - before, n) + np.arange(n.sum())].tobytes()
+        ends = np.cumsum(np.add.reduceat(n, head_at)) * 4
+        return [ids[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -233,7 +268,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, doc_
 
         for batch in batches:
             for piece in split_batch(batch):
-                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist()), strict=True):
+                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1)), strict=True):
                     names.append(name)
                     counts.append(len(ids) // 4 + 1)
                     parts += (ids, end)
