@@ -63,6 +63,12 @@ def _same(a: Column, b: Column) -> Column:
     return F.coalesce(a == b, F.lit(False))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with the columns, each evaluated once a row: the optimizer doesn't
+    copy a generator's output into the expressions (and lambdas) that use it."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn_role: str = "assistant") -> DataFrame:
     """(conv_id, n_turns, formatted, loss_spans array<struct<start, end>>)."""
     source = rows.select(
@@ -78,14 +84,13 @@ def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str =
     listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "r", "b"))).alias("t"))
     want = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
     rendered = F.array_join(F.transform("t", lambda x: render_turn(x["r"], x["b"])), "")
-    listed = listed.withColumn("same", _same(parse(rendered), want))
-    parts = F.transform(
-        "t",
-        lambda x: F.when(F.col("same"), F.struct(x["role"].alias("role"), x["r"].alias("r"), x["b"].alias("b"))).otherwise(F.struct(x["role"].alias("role"), escape(x["role"]).alias("r"), escape(x["text"]).alias("b"))),
-    )
-    listed = listed.select("conv_id", want.alias("want"), parts.alias("parts"))
-    listed = listed.withColumn("formatted", F.array_join(F.transform("parts", lambda x: render_turn(x["r"], x["b"])), ""))
-    listed = listed.withColumn("same", F.when(_same(parse(F.col("formatted")), F.col("want")), F.lit(True)).otherwise(F.raise_error(F.lit("a conversation doesn't parse back")).cast("boolean")))
+    listed = _once(listed, want=want, rendered=rendered)
+    listed = _once(listed, same=_same(parse(F.col("rendered")), F.col("want")))
+    as_rendered = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["r"].alias("r"), x["b"].alias("b")))
+    all_escaped = F.transform("t", lambda x: F.struct(x["role"].alias("role"), escape(x["role"]).alias("r"), escape(x["text"]).alias("b")))
+    listed = _once(listed, parts=F.when(F.col("same"), as_rendered).otherwise(all_escaped)).select("conv_id", "want", "parts")
+    listed = _once(listed, formatted=F.array_join(F.transform("parts", lambda x: render_turn(x["r"], x["b"])), ""))
+    listed = _once(listed, same=F.when(_same(parse(F.col("formatted")), F.col("want")), F.lit(True)).otherwise(F.raise_error(F.lit("a conversation doesn't parse back")).cast("boolean")))
     listed = listed.where("same")
     # offsets by a running sum, linear in the turns
     at = Window.partitionBy("conv_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,7 +108,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Digests computed from the rendered text and the loss mask alone."""
     turns = parse(F.col("formatted"))
     learned = F.transform("loss_spans", lambda s: unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
-    got = formatted.select("conv_id", "formatted", turns.alias("turns"), F.array_join(learned, "").alias("learned"))
+    got = _once(formatted.select("conv_id", "formatted", "loss_spans"), turns=turns, learned=F.array_join(learned, ""))
     return got.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
