@@ -127,6 +127,26 @@ def test_worst_passer_ties_broken_by_team(spark):
     assert [(r.competition, r.team, r.passSuccessRatio) for r in worst] == [("L", "A", 0.0)]
 
 
+def test_one_pass_stats_equal_joined_ones(spark):
+    from touchline.sources import fixtures as fx
+
+    rows = [
+        event(1, "A", "B", "Save attempt", "B", ["Goal"]),
+        event(1, "A", "B", "Pass", "A", ["Accurate"]),
+        event(1, "A", "B", "Pass", "A", None),
+        event(2, "C", "A", "Pass", "A", []),
+        event(2, "C", "A", "Pass", None, []),
+        event(3, "B", "C", "Pass", "B", [], season="T"),
+    ]
+    for ev, season in ((events_df(spark, rows), "S"), (fx.events(spark, SF_SMALL), "1997"), (events_df(spark, []), "S")):
+        joined = TM.attach_pass_ratio(TM.team_season_stats(M.match_results(ev), season), P.match_passes(ev), season)
+        one_pass = TM.season_stats_with_passes(ev, season)
+        assert sorted(one_pass.columns) == sorted(joined.columns)
+        one_pass = one_pass.select(joined.columns)
+        shown = lambda df: sorted(map(tuple, df.withColumn("passRatioRaw", F.round("passRatioRaw", 6)).collect()), key=str)
+        assert shown(one_pass) == shown(joined)
+
+
 def test_best_teams_position_is_league_position(spark):
     rows = [
         event(1, "A", "B", "Save attempt", "B", ["Goal"]),

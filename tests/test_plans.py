@@ -70,3 +70,9 @@ def test_stints_join_length_at_match_grain(spark):
     # the only shuffle joins is keyed by match, below the explode into players
     joins = [ln for ln in text.splitlines() if "Join" in ln and "Broadcast" not in ln]
     assert all("matchId" in ln for ln in joins)
+
+
+@pytest.mark.parametrize("key", ["team_stats_with_passes", "best_teams"])
+def test_best_teams_read_the_line_items_once(spark, key):
+    text = plan_text(E.queries()[key](spark, SF_SMALL), "simple")
+    assert sum("FileScan" in ln and "l_orderkey" in ln for ln in text.splitlines()) == 1

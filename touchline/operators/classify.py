@@ -80,9 +80,11 @@ def assemble(df: DataFrame, cols: Sequence[str], output: str = "features") -> Da
 
 
 def split_flag(key: str, train_fraction: float = 0.8, seed: int = 1) -> Column:
-    """True for training rows: a seeded 64-bit hash of the key mapped to [0, 1)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
-    return bucket < train_fraction
+    """True for training rows: the first 32 bits of the MD5 of "key:seed" (null
+    key: empty) modulo a million, below the fraction. Other engines can compute it."""
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000
+    return bucket < round(train_fraction * 1_000_000)
 
 
 def split_train_test(

@@ -49,7 +49,7 @@ def match_summary(matches: DataFrame) -> DataFrame:
     )
 
 
-def _side(team: str, opponent: str, gf: str, ga: str) -> Column:
+def _side(team: str, opponent: str, gf: str, ga: str, *more: Column) -> Column:
     goals_for, goals_against = F.col(gf), F.col(ga)
     return F.struct(
         F.col(team).alias("team"),
@@ -60,14 +60,17 @@ def _side(team: str, opponent: str, gf: str, ga: str) -> Column:
         (goals_for == goals_against).cast("int").alias("D"),
         (goals_for < goals_against).cast("int").alias("L"),
         F.when(goals_for > goals_against, 3).when(goals_for == goals_against, 1).otherwise(0).alias("points"),
+        *more,
     )
 
 
-def team_match_rows(matches: DataFrame) -> DataFrame:
-    """Two rows per match, one from each team's point of view (single scan)."""
+def team_match_rows(matches: DataFrame, more: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Two rows per match, one from each team's point of view (single scan).
+    ``more`` names further columns: name -> (home side's column, away side's)."""
+    more = more or {}
     views = F.array(
-        _side("homeTeam", "awayTeam", "homeTeamGoals", "awayTeamGoals"),
-        _side("awayTeam", "homeTeam", "awayTeamGoals", "homeTeamGoals"),
+        _side("homeTeam", "awayTeam", "homeTeamGoals", "awayTeamGoals", *[F.col(h).alias(n) for n, (h, _) in more.items()]),
+        _side("awayTeam", "homeTeam", "awayTeamGoals", "homeTeamGoals", *[F.col(a).alias(n) for n, (_, a) in more.items()]),
     )
     return matches.select("matchId", "competition", "season", F.inline(views))
 

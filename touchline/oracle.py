@@ -723,6 +723,10 @@ def classify_sql() -> dict[str, str]:
         """,
         "f_power",
     )
+    q["train_test_split"] = with_views(
+        "SELECT time, CAST('0x' || substr(md5(CAST(time AS VARCHAR) || ':1'), 1, 8) AS BIGINT) % 1000000 < 800000 AS train FROM f_power",
+        "f_power",
+    )
     q["eval_accuracy"] = with_views(
         "SELECT count_if(prediction = hour) / count(*) AS accuracy FROM f_pred", "f_pred"
     )

@@ -143,9 +143,7 @@ def q_team_season_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stats_with_passes(spark: SparkSession, sf: str) -> DataFrame:
-    events = fx.events(spark, sf)
-    stats = TM.team_season_stats(M.match_results(events), SEASON)
-    return TM.attach_pass_ratio(stats, P.match_passes(events), SEASON)
+    return TM.season_stats_with_passes(fx.events(spark, sf), SEASON)
 
 
 @register("team_stats_with_passes")
