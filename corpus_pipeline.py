@@ -4,15 +4,17 @@ its predecessor kept, and its decisions take effect.
 
 1. quality: the line CRF scores every text; documents that it rejects go.
 2. near_duplicates: HyperMinHash groups (five-word shingles, similarity 0.8 or
-   more); the smallest id of each group stays.
+   more) of rows; one row of each group stays, that of the smallest id.
 3. decontamination: documents of which a twentieth of the words or more stand in
    windows of benchmark items go.
 4. secrets: spans found by the blob ledger are replaced by their kind.
 5. tokens: byte-level BPE ids of every text, as (doc_id, n_tokens, ids).
 
-All stages but the last return the columns of ``documents``. Repeated ids stay
-together: a decision on an id holds for all its rows. Null texts are empty
-texts to every stage; rows of null id pass the filters on ids as they are.
+All stages but the last return the columns of ``documents``. Decisions are on
+rows: neither a null id nor an id that other texts share keeps a row from being
+judged by its own text. Of repeated rows one stays, null ids come after all
+others. Null texts are empty texts to every stage; texts without words are in no
+group, so all of them pass stage 2.
 """
 
 from __future__ import annotations
@@ -28,27 +30,30 @@ from touchline.session import scratch_path
 QUALITY_THRESHOLD = 0.7
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id isn't among ``ids`` (doc_id). Only ids that go are
-    shuffled to the rows."""
-    return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = line_crf.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scores = stored(line_crf.score(docs, model).where(F.col("score") < QUALITY_THRESHOLD).select("doc_id"), "rejected")
-    return _without(docs, scores)
+    return line_crf.accepted(docs, model, QUALITY_THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = hyperminhash.near_duplicates(docs, shingle=5, percent=80)
-    return _without(docs, stored(groups.where(~F.col("kept")).select("doc_id"), "duplicates"))
+    # ids may be null or repeated; written numbers name the rows
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = hyperminhash.near_duplicates(rows, doc_id="__row", shingle=5, percent=80)
+    groups = stored(groups.select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+    # rows that tie in the id differ in their content or not at all
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*docs.columns).alias("content"), "__row")
+    first = groups.join(rows.select("__row", order.alias("order")), "__row").groupBy("component_id").agg(F.min("order").alias("first"))
+    # only rows that go are shuffled to the texts
+    gone = stored(groups.join(first.select("first.__row"), "__row", "left_anti").select("__row"), "duplicates")
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = winnowing.contaminated_words(docs, table(spark, sf_dir, "benchmark"))
     hit = found.where(winnowing.is_contaminated(F.col("n_hit"), F.col("n_words")))
-    return _without(docs, stored(hit.select("doc_id"), "contaminated"))
+    hit = stored(hit.select("doc_id", "text_hash").distinct(), "contaminated")
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64("d.text") == F.col("h.text_hash"))
+    return docs.alias("d").join(hit.alias("h"), same, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

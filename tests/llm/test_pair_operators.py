@@ -152,3 +152,33 @@ def test_pipeline_stages_take_effect(spark, odd_docs):
     odd = corpus_pipeline.secrets(spark, odd_docs, SMALL)
     assert odd.count() == 8 and odd.where("doc_id = 3 and text like '%[assign]%'").count() == 2
     assert corpus_pipeline.STAGES[-1][1](spark, odd_docs, SMALL).count() == 8
+
+
+def test_pipeline_judges_rows_of_null_and_repeated_ids(spark, monkeypatch):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, n_chars int"
+    rows_of = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    frame = lambda rows: spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], schema)
+
+    # quality: the rejected texts go with any id, the others under the same id stay
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = corpus_pipeline.line_crf.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    scored = docs.join(corpus_pipeline.line_crf.score(docs, model), "doc_id").select("text", "score")
+    bad, good = scored.orderBy("score").first().text, scored.orderBy(F.desc("score")).first().text
+    given = [(None, bad), (None, good), (1, bad), (1, good), (2, good)]
+    assert rows_of(corpus_pipeline.quality(spark, frame(given), SMALL)) == sorted([(None, good), (1, good), (2, good)], key=str)
+
+    # near duplicates: one row a group, of the smallest id, null ids last
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words)
+    close, other, lone = " ".join([*words[:-1], "end"]), " ".join(f"o{i}" for i in range(30)), " ".join(f"l{i}" for i in range(30))
+    given = [(4, near), (4, near), (None, close), (None, other), (None, other), (7, lone), (4, lone), (9, near), (5, ""), (5, ""), (None, None)]
+    want = [(4, near), (None, other), (4, lone), (5, ""), (5, ""), (None, None)]
+    assert rows_of(corpus_pipeline.near_duplicates(spark, frame(given), SMALL)) == sorted(want, key=str)
+
+    # decontamination: by row, whatever its id
+    item = " ".join(f"q{i}" for i in range(30))
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([(1, item)], "item_id long, text string"))
+    given = [(None, item), (None, lone), (1, item), (1, lone), (None, None), (2, None)]
+    assert rows_of(corpus_pipeline.decontamination(spark, frame(given), SMALL)) == sorted([(None, lone), (1, lone), (None, None), (2, None)], key=str)

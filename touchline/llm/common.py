@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from touchline.session import scratch_path
 
@@ -60,7 +61,7 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with ``fn`` called once for each group of whole rows whose
     texts hold about ``GROUP_BYTES`` bytes."""
 

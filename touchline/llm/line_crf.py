@@ -292,3 +292,13 @@ def score(docs: DataFrame, model: LineCrf, doc_id: str = "doc_id", text: str = "
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array(n), pa.array(bad)], ["doc_id", "score", "n_lines", "n_bad_lines"])
 
     return map_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {key}, score double, n_lines long, n_bad_lines long")
+
+
+def accepted(docs: DataFrame, model: LineCrf, threshold: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more."""
+    at = docs.columns.index(text)
+
+    def run(batch: pa.RecordBatch):
+        yield batch.filter(pa.array(model.scores(text_bytes(batch.column(at)))[0] >= threshold))
+
+    return map_batches(docs, run, docs.schema)
