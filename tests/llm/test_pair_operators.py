@@ -91,6 +91,26 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert cover_tree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_every_length_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    rows = []
+    for n, size in ((60, 8), (40, 5), (40, 3), (1, 2)):
+        v = rng.normal(size=(n, size))
+        v[n // 2 :] = v[: n - n // 2] + 0.1 * rng.normal(size=(n - n // 2, size))
+        v[-n // 10 :] = v[0]
+        rows += [(len(rows) + i, x.tolist()) for i, x in enumerate(v)]
+    order = rng.permutation(len(rows)).tolist()  # ids of a length are no range
+    rows = [(order[i], x) for i, x in rows]
+    got = {r.vec_id: r for r in cover_tree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = {i: np.array(x) / np.linalg.norm(x) for i, x in rows}
+    links = [(a, b) for a in unit for b in unit if a != b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9]
+    want = _components(unit, links)
+    assert {len(unit[a]) for a, _ in links} == {3, 5, 8} and len(got) == len(rows)
+    for i in unit:
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (sum(a == i for a, _ in links), want[i], want[i] == i)
+
+
 # --- 8
 
 

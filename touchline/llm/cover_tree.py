@@ -15,11 +15,14 @@ dealt over several blocks. One task compares the surviving leaf pairs of one
 pair of blocks with matrix products and returns link counts and, for each
 product, edges that span its components: never the pairs themselves.
 
+Vectors of different lengths have no cosine: every length has its own sample,
+tree and blocks, and all lengths go through the same steps together.
+
 Defined results: vectors that are null, zero or hold null or non-finite
-components, or whose length differs from most, link with nothing; identical
-vectors are one class with a multiplicity; repeated rows come back as often as
-they came; rows of null id are not compared and have a null component; an empty
-table gives no rows. Only the id and vector columns are read.
+components link with nothing; identical vectors are one class with a
+multiplicity; repeated rows come back as often as they came; rows of null id are
+not compared and have a null component; an empty table gives no rows. Only the
+id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import map_batches, ship_package, stored
@@ -163,70 +167,75 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id",
     good = F.size("v") > 0
     good = good & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     rows = stored(rows.withColumn("good", F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull()), "vectors")
-    sizes = rows.where("good").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    d = sizes[0]["d"] if sizes else 0
-    rows = rows.withColumn("good", F.col("good") & (F.size("v") == d))
 
     # identical vectors are one class
     classes = rows.where("good").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     classes = stored(classes, "vector-classes")
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()
+    order = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("id"), "id")
+    picked = classes.select("v", F.row_number().over(order).alias("k")).where(F.col("k") <= SAMPLE).orderBy("k").select("v").toPandas()
     if not len(picked):
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = _unit(np.array(picked.v.tolist(), np.float64))
-    tree = Tree(sample)
+    trees = {int(d): Tree(_unit(np.array(same.v.tolist(), np.float64))) for d, same in picked.groupby(picked.v.map(len))}
 
     def place(batch: pa.RecordBatch):
-        v = _unit(batch.column(2).flatten().to_numpy().reshape(-1, d))
-        nodes, distances = tree.descend(v)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in v], pa.binary()), pa.array(nodes.T.tolist(), pa.list_(pa.int32())), pa.array(distances.T.tolist(), pa.list_(pa.float64()))], ["id", "copies", "u", "nodes", "far"])
-
-    placed = stored(map_batches(classes.select("id", "copies", "v"), place, "id long, copies long, u binary, nodes array<int>, far array<double>"), "placed")
-    # one row a node: at most LEAVES a level
-    stats = placed.select(F.posexplode("nodes").alias("level", "node"), "far").groupBy("level", "node").agg(F.max(F.get("far", F.col("level"))).alias("r"), F.count("*").alias("n")).collect()
-    radius = [np.full(len(c), -1.0) for c in tree.centers]
-    size = np.zeros(len(tree.centers[-1]), np.int64)
+        lengths = pc.list_value_length(batch.column(2)).to_numpy()
+        for d in np.unique(lengths).tolist():
+            part = batch.filter(pa.array(lengths == d))
+            v = _unit(part.column(2).flatten().to_numpy().reshape(-1, d))
+            nodes, distances = trees[d].descend(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), d), pa.int32()), part.column(0), part.column(1), pa.array([x.tobytes() for x in v], pa.binary()), pa.array(nodes.T.tolist(), pa.list_(pa.int32())), pa.array(distances.T.tolist(), pa.list_(pa.float64()))], ["d", "id", "copies", "u", "nodes", "far"])
+
+    placed = stored(map_batches(classes.select("id", "copies", "v"), place, "d int, id long, copies long, u binary, nodes array<int>, far array<double>"), "placed")
+    # one row a node: at most LEAVES a level and length
+    stats = placed.select("d", F.posexplode("nodes").alias("level", "node"), "far").groupBy("d", "level", "node").agg(F.max(F.get("far", F.col("level"))).alias("r"), F.count("*").alias("n")).collect()
+    radius = {d: [np.full(len(c), -1.0) for c in tree.centers] for d, tree in trees.items()}
+    size = {d: np.zeros(len(tree.centers[-1]), np.int64) for d, tree in trees.items()}
     for s in stats:
-        radius[s["level"]][s["node"]] = s["r"]
-        if s["level"] == len(tree.centers) - 1:
-            size[s["node"]] = s["n"]
-    pairs = tree.leaf_pairs(radius, chord)
-    allowed: dict[int, np.ndarray] = {}
-    for k in np.unique(pairs):
-        allowed[int(k)] = np.unique(np.concatenate((pairs[pairs[:, 0] == k, 1], pairs[pairs[:, 1] == k, 0])))
+        radius[s["d"]][s["level"]][s["node"]] = s["r"]
+        if s["level"] == len(trees[s["d"]].centers) - 1:
+            size[s["d"]][s["node"]] = s["n"]
+    pairs = {d: tree.leaf_pairs(radius[d], chord) for d, tree in trees.items()}
+    allowed: dict[int, dict[int, np.ndarray]] = {d: {} for d in trees}
+    for d, found in pairs.items():
+        for k in np.unique(found):
+            allowed[d][int(k)] = np.unique(np.concatenate((found[found[:, 0] == k, 1], found[found[:, 1] == k, 0])))
 
     # leaves (in tree order) to blocks: first block and number of blocks of each
-    first, parts, block, room = {}, {}, 0, BLOCK
-    for k in np.argsort(tree.parent[-1], kind="stable").tolist():
-        if not size[k]:
-            continue
-        if size[k] > room and room < BLOCK:
-            block, room = block + 1, BLOCK
-        first[k], parts[k] = block, -(-int(size[k]) // BLOCK)
-        if parts[k] > 1:
-            block, room = block + parts[k], BLOCK
-        else:
-            room -= int(size[k])
-    leaves = spark.createDataFrame([(k, first[k], parts[k]) for k in first], "leaf int, first int, parts int")
-    # leaf pairs, at most LEAVES squared; their blocks are dealt out by Spark
-    table = spark.createDataFrame([(int(a), int(b), first[int(a)], parts[int(a)], first[int(b)], parts[int(b)]) for a, b in pairs], "a int, b int, fa int, pa int, fb int, pb int")
+    first, parts, block = {}, {}, -1
+    for d, tree in trees.items():
+        block, room = block + 1, BLOCK  # no block holds two lengths
+        for k in np.argsort(tree.parent[-1], kind="stable").tolist():
+            n = int(size[d][k])
+            if not n:
+                continue
+            if n > room and room < BLOCK:
+                block, room = block + 1, BLOCK
+            first[d, k], parts[d, k] = block, -(-n // BLOCK)
+            if parts[d, k] > 1:
+                block, room = block + parts[d, k], BLOCK
+            else:
+                room -= n
+    leaves = spark.createDataFrame([(d, k, first[d, k], parts[d, k]) for d, k in first], "d int, leaf int, first int, parts int")
+    # leaf pairs, at most LEAVES squared a length; their blocks are dealt out by Spark
+    table = spark.createDataFrame([(first[d, a], parts[d, a], first[d, b], parts[d, b]) for d in pairs for a, b in pairs[d].tolist()], "fa int, pa int, fb int, pb int")
     spread = lambda f, p: F.explode(F.sequence(F.col(f), F.col(f) + F.col(p) - 1))
     jobs = table.select("fb", "pb", spread("fa", "pa").alias("x")).select("x", spread("fb", "pb").alias("y")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     sides = jobs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    dealt = placed.select("id", "copies", "u", F.element_at("nodes", -1).alias("leaf")).join(F.broadcast(leaves), "leaf")
-    dealt = dealt.select("id", "copies", "u", "leaf", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"))
+    dealt = placed.select("d", "id", "copies", "u", F.element_at("nodes", -1).alias("leaf")).join(F.broadcast(leaves), ["d", "leaf"])
+    dealt = dealt.select("d", "id", "copies", "u", "leaf", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"))
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        d = int(group.d.iloc[0])
         u = np.frombuffer(b"".join(group.u), np.float64).reshape(-1, d)
         ids = group.id.to_numpy()
-        n, x, y = compare_blocks(u, group.leaf.to_numpy(), group.block.to_numpy(), group.copies.to_numpy(), int(key[0]), int(key[1]), allowed, least)
+        n, x, y = compare_blocks(u, group.leaf.to_numpy(), group.block.to_numpy(), group.copies.to_numpy(), int(key[0]), int(key[1]), allowed[d], least)
         has = np.flatnonzero(n)
-        return pd.DataFrame({"id": np.concatenate((ids[has], ids[y])), "n": np.concatenate((n[has], np.zeros(len(y), np.int64))), "to": np.concatenate((ids[has], ids[x]))})
+        return pd.DataFrame({"d": np.full(len(has) + len(y), d), "id": np.concatenate((ids[has], ids[y])), "n": np.concatenate((n[has], np.zeros(len(y), np.int64))), "to": np.concatenate((ids[has], ids[x]))})
 
-    found = stored(dealt.join(sides, "block").groupBy("x", "y").applyInPandas(compare, "id long, n long, to long"), "vector-links")
-    counts = found.where("n > 0").groupBy("id").agg(F.sum("n").alias("n"))
+    found = stored(dealt.join(sides, "block").groupBy("x", "y").applyInPandas(compare, "d int, id long, n long, to long"), "vector-links")
+    counts = found.where("n > 0").groupBy("d", "id").agg(F.sum("n").alias("n"))
     parts_of = connected_components(found.where("id <> to"), "id", "to")
-    by_class = classes.join(counts, "id", "left").join(parts_of, F.col("id") == F.col("vertex"), "left")
+    by_class = classes.withColumn("d", F.size("v")).join(counts, ["d", "id"], "left").join(parts_of, F.col("id") == F.col("vertex"), "left")
     by_class = by_class.select(F.col("v").alias("cv"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     out = rows.join(by_class, F.when(F.col("good"), F.col("v")) == F.col("cv"), "left")
     component = F.coalesce("component_id", "vec_id")
