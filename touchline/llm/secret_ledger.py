@@ -7,6 +7,9 @@ scans only blobs with pairs the ledger lacks, each blob's text once however
 many paths hold it, appends to the ledger and joins the findings back to all
 paths. Raising a rule's version rescans that rule alone.
 
+The span of a private key runs from its BEGIN line through its END line, or
+through its base64 lines where the END line is missing.
+
 Spans are in code points, end exclusive. Matches are leftmost and
 non-overlapping by rule; those whose value is too short are dropped after
 matching. Positions come from the lengths of the text between matches, summed
@@ -47,8 +50,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}"),  # greedy and leftmost: the same spans as [0-9a-f]+ of 32 or more
 )
+# A key from its BEGIN line on. With an END line, all up to it (a body has no
+# dashes, header lines may); cut off before it, the base64 lines that follow.
+# Line ends may be escaped, as in JSON. Every repeated group is possessive: Java
+# runs them in a loop, and nothing is tried twice.
+_NL = r"(?:[\r\n]|\\[rn])"
+_HEADERS = rf"(?:(?:[\x20\t]|{_NL})*+[A-Za-z][A-Za-z0-9-]{{0,60}}+:[^\r\n\\]{{0,998}}+(?={_NL}))*+"
+_QUAD = r"[A-Za-z0-9+/]"
+_LINES = rf"(?:[\x20\t]*+{_NL}++[\x20\t]*+{_QUAD}{{40,}}+={{0,2}}+)"
+_LAST = rf"(?:[\x20\t]*+{_NL}++[\x20\t]*+(?={_QUAD})(?:{_QUAD}{{4}}){{0,9}}+(?:{_QUAD}{{2}}==|{_QUAD}{{3}}=)?+(?=[\x20\t]*+(?:{_NL}|\z)))?+"
+PEM = rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:{_HEADERS}[^-]*+-----END [A-Z ]{{0,40}}PRIVATE KEY-----|{_HEADERS}{_LINES}++{_LAST})?+"
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", PEM, version=2),
     Rule("bearer", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
