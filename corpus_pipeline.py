@@ -8,7 +8,8 @@ its predecessor kept, and its decisions take effect.
 3. decontamination: documents of which a twentieth of the words or more stand in
    windows of benchmark items go.
 4. secrets: spans found by the blob ledger are replaced by their kind.
-5. tokens: byte-level BPE ids of every text, as (doc_id, n_tokens, ids).
+5. tokens: byte-level BPE ids of every text, decoded again, as (doc_id,
+   n_tokens, ids, decoded_sha256, exact: the ids give the text back).
 
 All stages but the last return the columns of ``documents``. Decisions are on
 rows: neither a null id nor an id that other texts share keeps a row from being
@@ -70,8 +71,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = duck_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return ids.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return duck_bpe.encode_checked(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [

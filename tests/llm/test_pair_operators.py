@@ -202,3 +202,18 @@ def test_pipeline_judges_rows_of_null_and_repeated_ids(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([(1, item)], "item_id long, text string"))
     given = [(None, item), (None, lone), (1, item), (1, lone), (None, None), (2, None)]
     assert rows_of(corpus_pipeline.decontamination(spark, frame(given), SMALL)) == sorted([(None, lone), (1, lone), (None, None), (2, None)], key=str)
+
+
+def test_pipeline_tokens_are_decoded(spark, odd_docs):
+    import hashlib
+
+    import corpus_pipeline
+    from touchline.llm import duck_bpe
+
+    name = corpus_pipeline.public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    model = duck_bpe._model(name, corpus_pipeline.public_tokenizers.PATTERN)
+    ids_of = {t: model.encode([t])[0] for t in (r.text or "" for r in odd_docs.collect())}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    rows = corpus_pipeline.tokens(spark, odd_docs, SMALL).collect()
+    assert all(r.exact and r.n_tokens == len(r.ids) // 4 for r in rows)
+    assert sorted((bytes(r.ids), r.decoded_sha256) for r in rows) == sorted((ids_of[r.text or ""], digest(r.text or "")) for r in odd_docs.collect())

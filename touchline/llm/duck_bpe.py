@@ -201,6 +201,21 @@ def decode_ids(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     return map_batches(encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")), run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
+def encode_checked(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256, exact): ``encode_texts``, the
+    digest of the ids' decoded bytes and whether these are the text's."""
+
+    def run(batch: pa.RecordBatch):
+        model = _model(rank_file, pattern)
+        texts = ["" if x is None else x for x in batch.column(1).to_pylist()]
+        ids = model.encode(texts)
+        back = model.decode(ids)
+        columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string()), pa.array([x == t.encode() for x, t in zip(back, texts, strict=True)], pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded_sha256", "exact"])
+
+    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded_sha256 string, exact boolean")
+
+
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): every text encoded, its
     ids decoded again, both in one pass without a shuffle."""
