@@ -1,4 +1,4 @@
-"""Exact substring deduplication by prefix doubling over sampled positions.
+"""Exact substring deduplication by content hashes of sampled anchors.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts
 anywhere else. Two positions are the same if the ``length`` bytes from them are,
@@ -20,6 +20,10 @@ distance, and about two in ``window`` positions are anchors.
     out, runs whose stretch is met twice are decided, the others go on;
  4. rank what is left position by position by its ``length`` bytes.
 
+This replaces prefix doubling: no pair of ranks is joined from (rank at p, rank
+at p + offset), no offset grows and nothing is sorted; each round hashes the text
+again. The doubling form isn't built and its shuffle and disk aren't measured.
+
 Ranks are names given by a 64-bit hash of the bytes and brought together by
 Spark's shuffle, not dense numbers from a total sort; in the last round the
 name of the round before is part of the key (128 bits).
