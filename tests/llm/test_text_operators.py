@@ -201,3 +201,15 @@ def test_bpe_long_words_take_the_library(spark):
     model = duck_bpe._model(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     word = "ab" * duck_bpe.LONG_WORD
     assert model.decode(model.encode([word, " " + word])) == [word.encode(), (" " + word).encode()]
+
+
+def test_bpe_long_words_have_the_ids_of_the_library():
+    import tiktoken
+
+    name = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    model = duck_bpe._model(name, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.ranks, special_tokens={})
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list(letters), n)) for letters in ("ab", "etaoinshr", "東京都学") for n in (130, 399, 400, 401, 900)]
+    texts = [*words, *(f"x {w} y" for w in words), "a" * 2_000]
+    assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == [library.encode_ordinary(t) for t in texts]
