@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.calendar import calendar_columns
 from touchline.operators import classify as CL
-from conftest import SF_SMALL
+from data_folders import SF_SMALL
 
 
 def test_calendar_fields_in_utc_and_in_a_zone(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_MID, SF_SMALL
+from data_folders import SF_MID, SF_SMALL
 from touchline.operators import matches as M
 from touchline.sources import fixtures as fx
 

@@ -8,7 +8,7 @@ from touchline import schemas
 from touchline.operators import matches as M
 from touchline.operators import passes as P
 from touchline.operators import teams as TM
-from conftest import SF_SMALL
+from data_folders import SF_SMALL
 
 
 def event(match, home, away, event, team, tags, period="1H", time=10.0, comp="L", season="S"):

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracle import compare, duck
-from conftest import SF_SMALL
+from data_folders import SF_SMALL
 
 ORACLE_KEYS = sorted(E.oracle_sql())
 

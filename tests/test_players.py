@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators import players as PL
-from conftest import SF_SMALL
+from data_folders import SF_SMALL
 
 
 def team(name, base, subs=(None, None, None)):

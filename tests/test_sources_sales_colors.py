@@ -149,7 +149,7 @@ def test_pixel_expressions(spark):
 
 
 def test_colour_invariants_on_fixture(spark):
-    from conftest import SF_SMALL
+    from data_folders import SF_SMALL
     from touchline.sources import fixtures as fx
 
     profile = C.color_profile(C.images_with_metadata(fx.images(spark, SF_SMALL), fx.image_meta(spark, SF_SMALL)))
