@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, cover_tree, duck_bpe, hyperminhash, license_index, line_crf, pfor, secret_ledger, suffix_ranks, winnowing
+from touchline.llm import chat, cover_tree, duck_bpe, hyperminhash, license_index, line_crf, periodic_runs, pfor, qd_whitening, secret_ledger, suffix_ranks, winnowing
 from touchline.llm.common import stored, table
 from touchline.session import scratch_path
 
@@ -21,6 +21,7 @@ _QUERIES: dict[str, Query] = {}
 
 QUALITY_THRESHOLD = 0.7
 END_ID = 2
+COMPONENTS = 16
 
 
 def register(name: str) -> Callable[[Query], Query]:
@@ -111,6 +112,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duck_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@register("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    lines = F.array_join(F.transform("runs", line), "")
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+@register("op13_qd_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = qd_whitening.grid(table(spark, sf_dir, "embeddings"))
+    models, fit = qd_whitening.fit_whitening(rows, COMPONENTS)
+    error = qd_whitening.identity_error(fit, models)
+    return qd_whitening.whiten(rows, models).withColumn("identity_error", F.lit(error))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
