@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, cover_tree, duck_bpe, hyperminhash, license_index, line_crf, periodic_runs, pfor, qd_whitening, secret_ledger, suffix_ranks, winnowing
+from touchline.llm import chat, cover_tree, duck_bpe, gru_toxicity, hyperminhash, license_index, line_crf, periodic_runs, pfor, qd_whitening, secret_ledger, suffix_ranks, winnowing
 from touchline.llm.common import stored, table
 from touchline.session import scratch_path
 
@@ -22,6 +22,7 @@ _QUERIES: dict[str, Query] = {}
 QUALITY_THRESHOLD = 0.7
 END_ID = 2
 COMPONENTS = 16
+TOXICITY_THRESHOLD = 0.5
 
 
 def register(name: str) -> Callable[[Query], Query]:
@@ -112,6 +113,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duck_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@register("op11_gru_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = gru_toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = gru_toxicity.score(docs, network)
+    return scored.select("doc_id", gru_toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
