@@ -26,7 +26,7 @@ IMAGE_KEYS = ["filename", "annotation", "group"]
 COLOR_NAMES = sorted(set(BASIC_COLORS.values()))
 
 
-def _stem(origin: Column) -> Column:
+def stem(origin: Column) -> Column:
     """Last segment of a path, percent signs decoded, without its extension."""
     last = F.try_url_decode(F.replace(F.element_at(F.split(origin, "/"), -1), F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(last, r"(?<=.)\.[^.]*$", "")
@@ -35,7 +35,7 @@ def _stem(origin: Column) -> Column:
 def image_files(images: DataFrame) -> DataFrame:
     """(filename, nChannels, data) from ``image`` structs; filename = stem of the origin path."""
     return images.select(
-        _stem(F.col("image.origin")).alias("filename"),
+        stem(F.col("image.origin")).alias("filename"),
         F.col("image.nChannels").alias("nChannels"),
         F.col("image.data").alias("data"),
     )

@@ -304,6 +304,22 @@ _view(
     """,
 )
 
+# Pictures of many sizes; every 20th file holds no picture and is read without
+# pixels (sizes -1, no bytes).
+_view(
+    "f_pictures",
+    (),
+    """
+    SELECT a, seed, a % 20 = 19 AS broken,
+           CAST(CASE WHEN a % 25 = 1 THEN 1 WHEN a % 100 = 3 THEN 1500 ELSE 1 + (a * 7) % 48 END AS INTEGER) AS h,
+           CAST(CASE WHEN a % 25 = 1 THEN 1 WHEN a % 100 = 3 THEN 1100 ELSE 1 + (a * 13) % 64 END AS INTEGER) AS w,
+           CASE WHEN a % 3 = 0 THEN 3 ELSE 4 END AS c
+    FROM (SELECT doc_id // 16 AS a,
+                 md5(CAST(count(doc_id) AS VARCHAR) || '-' || CAST(min(doc_id) AS VARCHAR) || '-' || CAST(max(doc_id) AS VARCHAR)) AS seed
+          FROM documents GROUP BY 1)
+    """,
+)
+
 # Basic colour per rounded (r, g, b), 27 rows.
 _view(
     "f_palette",
@@ -632,6 +648,19 @@ RED_GROUP = "src1"
 
 def colors_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["scan_images"] = with_views(
+        """
+        SELECT 'album ' || CAST(a AS VARCHAR) AS filename,
+               CASE WHEN broken THEN -1 ELSE h END AS height,
+               CASE WHEN broken THEN -1 ELSE w END AS width,
+               CASE WHEN broken THEN -1 ELSE c END AS nChannels,
+               CASE WHEN broken THEN -1 WHEN c = 3 THEN 16 ELSE 24 END AS mode,
+               CAST(CASE WHEN broken THEN 0 ELSE h * w * c END AS BIGINT) AS n_bytes,
+               md5(CASE WHEN broken THEN '' ELSE substr(repeat(upper(seed), CAST(ceil(h * w * c / 16) AS BIGINT)), 1, 2 * h * w * c) END) AS data_md5
+        FROM f_pictures
+        """,
+        "f_pictures",
+    )
     q["scan_jsonl"] = with_views('SELECT filename AS hexcode, annotation, "group" FROM f_img', "f_img")
     q["image_metadata_join"] = with_views(
         'SELECT filename, annotation, "group", nChannels, hex(data) AS data_hex FROM f_img', "f_img"

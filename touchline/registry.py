@@ -21,7 +21,8 @@ from touchline.operators import sales as S
 from touchline.operators import teams as TM
 from touchline.session import scratch_path
 from touchline.sources import fixtures as fx
-from touchline.sources.readers import read_events, read_metadata, read_sales_csv
+from touchline.sources.png import write_pngs
+from touchline.sources.readers import read_events, read_images, read_metadata, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +258,25 @@ def _profile(spark: SparkSession, sf: str) -> DataFrame:
     return C.color_profile(fx.images(spark, sf), fx.image_meta(spark, sf))
 
 
+@register("scan_images")
+def q_scan_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Round trip: pictures of many sizes written as PNG files to the shared
+    checkpoint folder and read back by the image source, undecodable files
+    among them; pixel bytes shown as a digest of their hex text."""
+    path = scratch_path(spark, "pictures")
+    write_pngs(fx.pictures(spark, sf), path)
+    image = read_images(spark, path).select("image.*")
+    return image.select(
+        C.stem(F.col("origin")).alias("filename"),
+        "height",
+        "width",
+        "nChannels",
+        "mode",
+        F.length("data").cast("long").alias("n_bytes"),
+        F.md5(F.hex("data")).alias("data_md5"),
+    )
+
+
 @register("scan_jsonl")
 def q_scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     """Round trip: Spark writes the image metadata as JSON lines to the shared

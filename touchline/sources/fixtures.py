@@ -31,6 +31,7 @@ CLOSING_EVENT = "Others"
 GOAL_TAG = "Goal"
 ACCURATE_TAG = "Accurate"
 PLAYER_SLOTS = 14
+LARGE = (1500, 1100)  # height and width of the largest pictures
 # Role of each squad slot 1..14, in slot order.
 SLOT_ROLES = {
     1: "Goalkeeper", 2: "Defender", 3: "Defender", 4: "Defender", 5: "Defender",
@@ -232,6 +233,35 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``f_pictures``: one picture for every 16 consecutive document ids, from
+    1 x 1 to ``LARGE`` pixels, of 3 or 4 channels, its bytes repeating the digest
+    of its ids' count, least and greatest; every 20th is no picture at all."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id"])
+    album = F.expr("doc_id div 16")
+    made = docs.groupBy(album.alias("a")).agg(
+        F.md5(F.concat_ws("-", F.count("doc_id").cast("string"), F.min("doc_id").cast("string"), F.max("doc_id").cast("string"))).alias("seed")
+    )
+    a = F.col("a")
+    one, large = a % 25 == 1, a % 100 == 3
+    height = F.when(one, 1).when(large, LARGE[0]).otherwise(1 + (a * 7) % 48).cast("int")
+    width = F.when(one, 1).when(large, LARGE[1]).otherwise(1 + (a * 13) % 64).cast("int")
+    channels = F.when(a % 3 == 0, 3).otherwise(4).cast("int")
+    # the rows are small now, the pictures made from them aren't: deal them out
+    made = made.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a")
+    sized = made.select(a, "seed", height.alias("height"), width.alias("width"), channels.alias("nChannels"))
+    size = F.col("height") * F.col("width") * F.col("nChannels")
+    data = F.unhex(F.substring(F.repeat("seed", F.ceil(size / 16).cast("int")), F.lit(1), 2 * size))
+    broken = F.encode(F.concat(F.lit("no picture "), F.col("seed")), "utf-8")
+    return sized.select(
+        F.concat(F.lit("album "), a.cast("string")).alias("name"),
+        "height",
+        "width",
+        "nChannels",
+        F.when(a % 20 == 19, broken).otherwise(data).alias("data"),
+    )
+
+
 def image_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``f_image_meta``: hexcode, annotation and group per document."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "source"])

@@ -61,9 +61,10 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 
     Spark's image source decodes on the executors and returns pixel bytes in
     BGR(A) order with OpenCV mode 24 for 4-channel 8-bit images. A file that
-    can't be decoded keeps its row, without pixels.
+    can't be decoded keeps its row, without pixels. Files in sub-folders are
+    read as well; hidden ones (names that begin with ``_``) are not.
     """
-    return spark.read.format("image").load(path)
+    return spark.read.format("image").option("recursiveFileLookup", True).load(path)
 
 
 def read_metadata(spark: SparkSession, path: str, schema: StructType = schemas.IMAGE_META) -> DataFrame:
