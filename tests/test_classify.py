@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.calendar import calendar_columns
 from touchline.operators import classify as CL
+from touchline.operators import forest
 from data_folders import SF_SMALL
 
 
@@ -108,10 +109,56 @@ def test_forest_is_the_same_for_every_input_layout(spark):
 
     series = fx.power(spark, SF_SMALL)
     answers = []
-    for n in (2, 9):
-        _, got = CL.fit_case(series.repartition(n), CL.MAIN_CASES[0])
-        answers.append({r.time: r.prediction for r in got.select("time", "prediction").collect()})
-    assert answers[0] == answers[1]
+    for n in (1, 7, 64):
+        model, got = CL.fit_case(series.repartition(n), CL.MAIN_CASES[0])
+        answers.append((model.nodes(), {k: sorted(v.items()) for k, v in model.leaves.items()}, sorted((r.time, r.prediction, r.probability) for r in got.select("time", "prediction", "probability").collect())))
+    assert answers[0] == answers[1] == answers[2]
+    assert len(answers[0][0]) > 500  # 20 trees, five levels
+
+
+def test_rows_weigh_as_in_a_bootstrap(spark):
+    drawn = spark.range(20_000).select(F.posexplode(forest.row_weights(F.col("id"), 8, 1)).alias("tree", "w"))
+    shares = {r.w: r["count"] / 160_000 for r in drawn.groupBy("w").count().collect()}
+    for k, share in ((0, 0.3679), (1, 0.3679), (2, 0.1839), (3, 0.0613)):
+        assert shares[k] == pytest.approx(share, abs=0.005)
+    per_tree = drawn.groupBy("tree").agg(F.avg("w").alias("mean")).collect()
+    assert all(abs(r["mean"] - 1) < 0.03 for r in per_tree) and len({r["mean"] for r in per_tree}) == 8
+
+
+def test_a_tree_splits_where_the_gini_gain_is_greatest(spark):
+    rows = [(i, float(i % 7), float(i % 13), int(i % 13 > 5) + int(i % 7 > 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int")
+    model = forest.fit(df, ["a", "b"], "y", 3, "k", trees=3, depth=2)
+    weights = {r.k: r.w for r in df.select("k", forest.row_weights(F.col("k"), 3, 1).alias("w")).collect()}
+
+    def gini(part):
+        total = sum(w for _, w in part)
+        return sum(sum(w for y, w in part if y == c) ** 2 for c in range(3)) / total
+
+    for (tree, node), (f, b) in model.splits.items():
+        inside = rows
+        if node > 1:
+            f0, b0 = model.splits[tree, node // 2]
+            inside = [r for r in rows if (r[1 + f0] > model.cuts[f0][b0]) == bool(node % 2)]
+        inside = [r for r in inside if weights[r[0]][tree]]
+        best = max(
+            (gini(left) + gini(right), -g, -i)
+            for g in forest.node_features(tree, node, 2, 1)
+            for i, cut in enumerate(model.cuts[g])
+            for left, right in [([(r[3], weights[r[0]][tree]) for r in inside if r[1 + g] <= cut], [(r[3], weights[r[0]][tree]) for r in inside if r[1 + g] > cut])]
+            if left and right
+        )
+        assert (-best[1], -best[2]) == (f, b)
+
+
+def test_forest_without_rows_or_with_one_label(spark):
+    schema = "k long, a double, y int"
+    none = forest.fit(spark.createDataFrame([], schema), ["a"], "y", 3, "k", trees=2)
+    one = forest.fit(spark.createDataFrame([(i, float(i), 1) for i in range(20)], schema), ["a"], "y", 3, "k", trees=2)
+    df = spark.createDataFrame([(1, 5.0, 1)], schema)
+    assert [list(m.transform(df).first().probability) for m in (none, one)] == [[0.0] * 3, [0.0, 1.0, 0.0]]
+    assert [m.transform(df).first().prediction for m in (none, one)] == [0.0, 1.0]
+    assert not one.splits
 
 
 def test_unseen_class_counts_as_probability_zero(spark):

@@ -32,7 +32,7 @@ def test_survey_keys_are_registered():
         "most_colored", "least_colored_ratio", "top_colors_share", "color_signature_count",
         "most_red_in_group", "calendar_features", "drop_incomplete", "ml_assemble", "minmax_scale",
         "train_test_split", "rf_predict", "nb_predict", "eval_accuracy", "eval_cyclic",
-        "eval_true_probability", "classifier_report",
+        "eval_true_probability", "classifier_report", "scan_images",
     }
     assert expected <= set(E.queries())
 

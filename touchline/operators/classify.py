@@ -5,8 +5,9 @@
 * Split: a hash of the row key decides train/test, so the split is the same
   whatever the partitioning and survives recomputation after a lost executor
   (a row can never land in both parts).
-* Models: ``pyspark.ml`` pipelines (assembler, optional min-max scaler fitted
-  on the training part only, classifier).
+* Models: a random forest grown by grouped histograms (``operators.forest``),
+  which is the same for every layout of the input, and ``pyspark.ml`` naive Bayes
+  on inputs scaled to the training part's range.
 * Metrics: every custom measure is one aggregation over the predictions
   (no per-metric ``count`` actions, no RDD round trip to Python).
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.calendar import calendar_columns
+from touchline.operators import forest
+from touchline.operators.forest import Forest
 from touchline.plans.materialize import materialize
 
 WEATHER = ("temperature", "humidity", "wind_speed")
@@ -56,9 +59,6 @@ EXTRA_CASES = (
 )
 
 
-#: Number of partitions that models are fitted on (see ``by_key``); raise it
-#: with the training data, as another number is another forest.
-FIT_PARTITIONS = 16
 LABEL_INDEX = "__label"
 #: Smallest value of each label; model classes count from there.
 FIRST_VALUE = {"month": 1, "hour": 0, "dayofweek": 1}
@@ -104,23 +104,6 @@ def minmax_scaler(inputs: Sequence[str]) -> Pipeline:
     )
 
 
-def build_pipeline(case: Case, seed: int = 1) -> Pipeline:
-    stages: list = [VectorAssembler(inputCols=list(case.inputs), outputCol="features")]
-    features = "features"
-    if case.scaled:
-        stages.append(MinMaxScaler(inputCol="features", outputCol="scaledFeatures"))
-        features = "scaledFeatures"
-    return Pipeline(stages=[*stages, _classifier(case, features, seed)])
-
-
-def _classifier(case: Case, features: str, seed: int):
-    if case.classifier == "RandomForest":
-        return RandomForestClassifier(labelCol=LABEL_INDEX, featuresCol=features, seed=seed)
-    if case.classifier == "NaiveBayes":
-        return NaiveBayes(labelCol=LABEL_INDEX, featuresCol=features)
-    raise ValueError(f"unknown classifier {case.classifier!r}")
-
-
 def prepare(series: DataFrame, case: Case) -> DataFrame:
     """Calendar labels (as double, what ``pyspark.ml`` expects) and complete rows only."""
     data = with_calendar(series) if case.label not in series.columns else series
@@ -128,47 +111,41 @@ def prepare(series: DataFrame, case: Case) -> DataFrame:
     return drop_incomplete(data, list(case.inputs) + [case.label])
 
 
-def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time", placed: bool = False) -> tuple[PipelineModel, DataFrame]:
+def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time") -> tuple[Forest | PipelineModel, DataFrame]:
     """Fit on the training part; return the model and its predictions on the test part.
 
-    The model is fitted on 0-based label indices (Spark's naive Bayes numbers
-    classes from 0), predictions are label values again. ``placed`` says that
-    the rows come from ``by_key`` already.
+    Models count classes from 0; predictions are label values again. A forest
+    sees no difference between inputs and their min-max scaled values (scaling
+    keeps their order, bins depend on nothing else), so it gets them unscaled.
     """
-    train, test = split_train_test(prepare(series if placed else by_key(series, key), case), key, seed=seed)
+    train, test = split_train_test(prepare(series, case), key, seed=seed)
     train = train.withColumn(LABEL_INDEX, F.col(case.label) - FIRST_VALUE.get(case.label, 0))
-    if case.scaled:
-        model = _fit_scaled(train, case, seed)
+    if case.classifier == "RandomForest":
+        model = forest.fit(train, case.inputs, LABEL_INDEX, case.period, key, seed=seed)
+    elif case.classifier == "NaiveBayes":
+        model = _fit_bayes(train, case)
     else:
-        model = build_pipeline(case, seed).fit(train)
+        raise ValueError(f"unknown classifier {case.classifier!r}")
     back = F.col("prediction") + FIRST_VALUE.get(case.label, 0)
     return model, model.transform(test).withColumn("prediction", back)
 
 
-def by_key(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt over ``partitions`` by a hash of ``key`` and ordered within:
-    the forest's samples depend on both, so its answer is the same on every
-    cluster and for every layout of the input."""
-    rest = [c for c in df.columns if c != key]
-    return df.repartition(partitions, key).sortWithinPartitions(key, F.xxhash64(*rest) if rest else F.lit(0))
-
-
-def _fit_scaled(train: DataFrame, case: Case, seed: int) -> PipelineModel:
-    """Scaler and classifier. Naive Bayes refuses the negative values that a
-    scaler gives below the training minimum, so its model raises inputs to that
-    minimum first; other classifiers get them as they are."""
-    scaling = minmax_scaler(case.inputs).fit(train)
-    scaler = scaling.stages[-1]
-    stages = list(scaling.stages)
-    if case.classifier == "NaiveBayes":
-        raised = [f"greatest(`{c}`, {float(low)!r}D) AS `__{c}`" for c, low in zip(case.inputs, scaler.originalMin.toArray())]
-        stages = [
-            SQLTransformer(statement=f"SELECT *, {', '.join(raised)} FROM __THIS__"),
-            VectorAssembler(inputCols=[f"__{c}" for c in case.inputs], outputCol="features"),
-            scaler,
-        ]
+def _fit_bayes(train: DataFrame, case: Case) -> PipelineModel:
+    """Naive Bayes, on scaled inputs where the case asks for it. It refuses the
+    negative values that a scaler gives below the training minimum, so the model
+    raises inputs to that minimum first."""
+    if not case.scaled:
+        return Pipeline(stages=[VectorAssembler(inputCols=list(case.inputs), outputCol="features"), NaiveBayes(labelCol=LABEL_INDEX)]).fit(train)
+    scaler = minmax_scaler(case.inputs).fit(train).stages[-1]
+    raised = [f"greatest(`{c}`, {float(low)!r}D) AS `__{c}`" for c, low in zip(case.inputs, scaler.originalMin.toArray())]
+    stages = [
+        SQLTransformer(statement=f"SELECT *, {', '.join(raised)} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"__{c}" for c in case.inputs], outputCol="features"),
+        scaler,
+    ]
     front = PipelineModel(stages)
-    return PipelineModel([*stages, _classifier(case, "scaledFeatures", seed).fit(front.transform(train))])
+    bayes = NaiveBayes(labelCol=LABEL_INDEX, featuresCol="scaledFeatures").fit(front.transform(train))
+    return PipelineModel([*stages, bayes])
 
 
 # ---------------------------------------------------------------- metrics
@@ -250,16 +227,16 @@ def run_cases(
     The calendar columns are computed once and the input is cached for the
     fits. The cases are independent, so up to ``parallelism`` of them are
     fitted at the same time from driver threads (as ``pyspark.ml`` tuning
-    does): a tree fit is many short jobs, and concurrent fits fill the cores
-    the others leave idle between jobs. The small report is checkpointed so
+    does): a fit is a job a level, and concurrent fits fill the cores the others
+    leave idle between jobs. The small report is checkpointed so
     the cache can be released.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    base = by_key(with_calendar(series), key).persist()
+    base = with_calendar(series).persist()
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key, placed=True), cases))
+            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key), cases))
         rows = [_report_row(case, predictions) for case, (_, predictions) in zip(cases, fitted)]
         report = rows[0]
         for r in rows[1:]:

@@ -11,6 +11,8 @@ widens to HUGEINT), calendar parts to INTEGER, window positions to INTEGER.
 
 from __future__ import annotations
 
+from touchline.oracle_models import model_sql
+
 # name -> (dependencies, SQL body of the CTE)
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -779,6 +781,7 @@ def classify_sql() -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(classify_sql())
+    out.update(model_sql(with_views))
     out.update(colors_sql())
     out.update(players_sql())
     out.update(football_sql())
