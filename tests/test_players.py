@@ -118,6 +118,51 @@ def test_top_minutes_by_role_and_plus_minus_above(spark):
     stints = PL.player_stints(fx.matches(spark, SF_SMALL), PL.match_length(events))
     top = PL.top_minutes_by_role(stints, fx.players(spark, SF_SMALL), "1997").collect()
     assert sorted(r.role for r in top) == ["Defender", "Forward", "Goalkeeper", "Midfielder"]
-    above = PL.plus_minus_above(stints, PL.goal_team(events), fx.players(spark, SF_SMALL), None, 20).collect()
+    above = PL.plus_minus_above(fx.matches(spark, SF_SMALL), PL.match_length(events), PL.goal_team(events), fx.players(spark, SF_SMALL), None, 20).collect()
     assert above and all(r.plusMinus > 20 for r in above)
     assert [r.plusMinus for r in above] == sorted((r.plusMinus for r in above), reverse=True)
+
+
+def test_balances_equal_the_goals_inside_each_interval(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def subs(base):
+        made = []
+        for k in range(3):
+            minute = rng.choice([0, 10, 44, 45, 46, 60, 60, 90])
+            made.append(None if rng.random() < 0.3 else (base + 12 + k, base + rng.choice([1, 2, 12]), minute))
+        return made
+
+    mrows = [match(m, team("H", 100, subs(100)), team("A", 200, subs(200))) for m in range(12)]
+    mrows.append(mrows[0])  # a repeated row: its intervals come twice, its goals count once in each
+    erows = []
+    for m in range(12):
+        erows += [goal_for(rng.choice("HA"), m, rng.choice(["1H", "2H"]), rng.choice([0, 599.5, 600, 2640, 2700, 2899, 0, 60, 900])) for _ in range(rng.randint(0, 9))]
+    events = events_df(spark, erows)
+    matches, lengths, goals = matches_df(spark, mrows), PL.match_length(events), PL.goal_team(events)
+    key = lambda r: (r.matchId, r.team, r.playerId)
+    pairs = {}
+    for r in PL.plus_minus_events(PL.player_stints(matches, lengths), goals).collect():
+        total, n = pairs.get(key(r), (0, 0))
+        pairs[key(r)] = (total + r.delta, n + 1)
+    sums = {}
+    for r in PL.stint_balances(matches, lengths, goals).collect():
+        total, n = sums.get(key(r), (0, 0))
+        sums[key(r)] = (total + r.plusMinus, n + r.goals)
+    assert {k: v for k, v in sums.items() if v[1]} == pairs and len(pairs) > 200
+    assert PL.stint_balances(matches.limit(0), lengths, goals).count() == 0
+
+
+def test_goals_and_stints_do_not_meet_as_rows(spark):
+    import contextlib
+    import io
+
+    from touchline import registry
+
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        registry.queries()["plus_minus_above"](spark, SF_SMALL).explain("formatted")
+    joins = [line for line in text.getvalue().splitlines() if line.startswith("Join condition")]
+    assert all("clock" not in line.lower() for line in joins)

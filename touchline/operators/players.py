@@ -12,10 +12,15 @@ Plan shape:
   filtered at the scan) equi-joined to stints on ``matchId`` with the range
   condition as the join's residual predicate. A hot match is handled by AQE's
   skew-join split; every later step is an aggregation with map-side combine.
+* ``stint_balances`` needs no such pairs: goals are counted into the phases
+  between a match's line-up changes, and a stint's value is the difference of
+  its team's running balance at two changes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +110,12 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
     before the rows multiply into ~28 players per match, so that join shuffles
     matches, not stints; the explode itself is a narrow step.
     """
+    return _stints(matches, lengths)
+
+
+def _stints(matches: DataFrame, lengths: DataFrame, carried: Sequence[str] = (), of_side: dict[str, Column] | None = None) -> DataFrame:
+    """``player_stints`` with the columns ``carried`` of the matches and columns
+    computed from them once a team and match (``data.team`` is the team)."""
     with_length = matches.join(lengths, "matchId", "left").withColumn(
         "matchLength", F.coalesce(F.col("matchLength"), F.lit(DEFAULT_MATCH_MINUTES).cast("long"))
     )
@@ -122,8 +133,12 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
         "competition",
         "season",
         "matchLength",
+        *carried,
         F.explode(F.array(side("homeTeamData"), side("awayTeamData"))).alias("data"),
     )
+    extra = [*carried, *(of_side or {})]
+    if of_side:
+        sides = sides.withColumns(of_side)
     entered = F.array_compact(F.array(*[F.col(f"data.{s}.playerIn") for s in SUBSTITUTIONS]))
     played = sides.select(
         "matchId",
@@ -131,6 +146,7 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
         "season",
         "matchLength",
         "data",
+        *extra,
         F.explode(F.array_distinct(F.concat(F.col("data.lineup"), entered))).alias("playerId"),
     )
     player = F.col("playerId")
@@ -151,6 +167,7 @@ def player_stints(matches: DataFrame, lengths: DataFrame) -> DataFrame:
         (end - F.least(start_minute.cast("long"), length)).alias("minutes"),
         substitution_clock(start_minute).alias("startClock"),
         F.when(out_minute.isNotNull(), substitution_clock(out_minute)).alias("endClock"),
+        *extra,
     )
 
 
@@ -232,17 +249,67 @@ def plus_minus(stints: DataFrame, goals: DataFrame) -> DataFrame:
     return plus_minus_events(stints, goals).groupBy("season", "playerId").agg(F.sum("delta").alias("plusMinus"))
 
 
+def change_clocks() -> Column:
+    """The sorted clocks at which a match's line-ups change (0 and the
+    substitutions, seven at most)."""
+    minutes = [F.col(f"{d}.{s}.minute") for d in ("homeTeamData", "awayTeamData") for s in SUBSTITUTIONS]
+    clocks = F.array_compact(F.array(F.lit(0.0), *[substitution_clock(m) for m in minutes]))
+    return F.array_sort(F.array_distinct(clocks))
+
+
+def goal_tallies(matches: DataFrame, goals: DataFrame) -> DataFrame:
+    """One row per match with goals: ``changes`` and the goals of each team in
+    each of the phases between them (phase p: p changes have happened).
+
+    A goal meets its match's changes once and is counted map-side into its
+    phase, so a match with very many goals leaves a few rows a task.
+    """
+    changing = matches.select("matchId", change_clocks().alias("changes")).distinct()  # a repeated row counts goals once
+    phased = goals.select("matchId", "goalTeam", "clock").join(changing, "matchId").select(
+        "matchId", "changes", "goalTeam", F.size(F.filter("changes", lambda c: c <= F.col("clock"))).alias("phase")
+    )
+    counted = phased.groupBy("matchId", "changes", "goalTeam", "phase").agg(F.count(F.lit(1)).alias("goals"))
+    return counted.groupBy("matchId", "changes").agg(F.collect_list(F.struct("goalTeam", "phase", "goals")).alias("tallies"))
+
+
+def stint_balances(matches: DataFrame, lengths: DataFrame, goals: DataFrame) -> DataFrame:
+    """``player_stints`` with ``plusMinus`` (goals for minus goals against while
+    the player was on the pitch) and ``goals`` (all of them).
+
+    Every team has a running balance of its match: entry p is the balance before
+    the p-th change. A stint's value is the balance at its end minus the one at
+    its start, two look-ups - goals and stints never meet as rows.
+    """
+    tallied = matches.withColumn("changes", change_clocks()).join(goal_tallies(matches, goals), ["matchId", "changes"], "left")
+
+    def running(weight: Callable[[Column], Column]) -> Column:
+        upto = lambda p: F.aggregate(
+            F.filter("tallies", lambda t: t["phase"] < p), F.lit(0).cast("long"), lambda acc, t: acc + weight(t)
+        )
+        return F.when(F.col("tallies").isNotNull(), F.transform(F.sequence(F.lit(0), F.size("changes") + 1), upto))
+
+    own = lambda t: F.when(t["goalTeam"] == F.col("data.team"), t["goals"]).otherwise(-t["goals"])
+    stints = _stints(tallied, lengths, ["changes", "tallies"], {"balance": running(own), "scored": running(lambda t: t["goals"])})
+    start = F.array_position("changes", F.col("startClock")).cast("int")
+    end = F.when(F.col("endClock").isNull(), F.size("changes") + 1).otherwise(F.array_position("changes", F.col("endClock")).cast("int"))
+    # an interval that ends before it begins holds no goal
+    held = lambda c: F.when(end > start, F.get(c, end) - F.get(c, start)).otherwise(F.lit(0).cast("long"))
+    value = lambda c: F.when(F.col("startClock").isNotNull() & F.col(c).isNotNull(), held(F.col(c))).otherwise(F.lit(0).cast("long"))
+    return stints.withColumns({"plusMinus": value("balance"), "goals": value("scored")}).drop("changes", "tallies", "balance", "scored")
+
+
 def plus_minus_above(
-    stints: DataFrame, goals: DataFrame, players: DataFrame, season: str | None, threshold: int
+    matches: DataFrame, lengths: DataFrame, goals: DataFrame, players: DataFrame, season: str | None, threshold: int
 ) -> DataFrame:
     """Players whose plus-minus (in ``season``, or over all data when None)
-    is strictly greater than ``threshold``."""
+    is strictly greater than ``threshold``; players without a goal scored while
+    they were on the pitch have none."""
     if season is not None:
-        stints = stints.filter(F.col("season") == season)
+        matches = matches.filter(F.col("season") == season)
         goals = goals.filter(F.col("season") == season)
-    pm = plus_minus_events(stints, goals).groupBy("playerId").agg(F.sum("delta").alias("plusMinus"))
+    totals = stint_balances(matches, lengths, goals).groupBy("playerId").agg(F.sum("plusMinus").alias("plusMinus"), F.sum("goals").alias("goals"))
     return (
-        pm.filter(F.col("plusMinus") > threshold)
+        totals.filter((F.col("plusMinus") > threshold) & (F.col("goals") > 0))
         .join(players, "playerId")
         .orderBy(F.col("plusMinus").desc(), "playerId")
         .select(full_name().alias("player"), "birthArea", "role", "plusMinus")

@@ -241,9 +241,11 @@ def q_plus_minus_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("plus_minus_above")
 def q_plus_minus_above(spark: SparkSession, sf: str) -> DataFrame:
+    events = fx.events(spark, sf)
     return PL.plus_minus_above(
-        _stints(spark, sf, PLUS_MINUS_SEASON),
-        PL.goal_team(fx.events(spark, sf)),
+        fx.matches(spark, sf),
+        PL.match_length(events),
+        PL.goal_team(events),
         fx.players(spark, sf),
         PLUS_MINUS_SEASON,
         PLUS_MINUS_ABOVE,
