@@ -16,7 +16,9 @@ from pyspark.sql.types import StructType
 from touchline.session import scratch_path
 
 #: Text bytes handled at once inside a task (one longer text is handled alone).
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
+#: Rows of one Arrow batch, unless the session asks for another number than Spark's default.
+BATCH_ROWS = 4_000
 
 U64 = np.uint64
 
@@ -50,6 +52,9 @@ def ship_package(spark: SparkSession) -> None:
     """Hand this package to the Python workers (once a Spark application), as
     ``--py-files`` would; Spark itself carries the archive to the executors."""
     sc = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":  # whole texts: that many fill a worker
+        spark.conf.set(rows, str(BATCH_ROWS))
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]
         with tempfile.TemporaryDirectory() as tmp:
@@ -61,28 +66,44 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+_kept: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What the tasks of ``owner`` (a module) keep in this worker process from
+    one to the next; what another owner's tasks have kept is let go, so a worker
+    that serves several operators holds the tables of one."""
+    others = [k for k in _kept if k != owner]
+    for k in others:
+        _kept.pop(k).clear()
+    if others:
+        gc.collect()
+    return _kept.setdefault(owner, {})
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``mapInArrow`` with ``fn`` called once for each group of whole rows whose
-    texts hold about ``GROUP_BYTES`` bytes."""
+    texts hold about ``group_bytes`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(fn.__module__)
         for batch in batches:
-            for part in split_batch(batch):
+            for part in split_batch(batch, group_bytes):
                 yield from fn(part)
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def split_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Cut a batch between rows so that each piece has about GROUP_BYTES."""
+def split_batch(batch: pa.RecordBatch, group_bytes: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch between rows so that each piece has about ``group_bytes``."""
     if batch.num_rows == 0:
         return
     size = np.full(batch.num_rows, 16, dtype=np.int64)
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
             size += np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + batch.num_rows + 1])
-    piece = (np.cumsum(size) - size) // GROUP_BYTES
+    piece = (np.cumsum(size) - size) // group_bytes
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)

@@ -68,6 +68,8 @@ CACHE_WORDS = 100_000
 PIECE_CHARS = 1 << 20
 #: Windows that go through the network together.
 BATCH_WINDOWS = 1024
+#: Text bytes scored together.
+GROUP_BYTES = 4 << 20
 
 _WORD = re.compile(r"\w+")
 F32 = np.float32
@@ -519,4 +521,4 @@ def score(docs: DataFrame, net: Network, doc_id: str = "doc_id", text: str = "te
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     key = docs.schema[doc_id].dataType.simpleString()
-    return map_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {key}, score double")
+    return map_batches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {key}, score double", GROUP_BYTES)

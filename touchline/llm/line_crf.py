@@ -10,18 +10,25 @@ Training: the given labels are of documents, so lines inherit them; after the
 first fit, lines of bad documents that the fitted node potentials alone call
 good become good (the worst line stays bad), and the field is fitted again on
 those line labels. The fit runs on a bounded sample: the ``max_documents``
-labelled documents first in hash order, those of more than ``max_lines`` lines
-left out. Scoring covers every whole text.
+labelled documents first in hash order, each with all its lines or, where it has
+more, with ``max_lines`` consecutive ones whose place its id decides (their
+features come from the whole text). Scoring covers every whole text.
+
+Documents go through the recursions in groups of similar line counts (each group
+holds counts within a factor of two), so memory is linear in the lines.
 
 Defined results: null text is empty text; an empty text is one empty line and
 gets a score like any other; with no training rows, or rows of one class only,
-every score is 0.5; rows are never dropped or merged, so repeated rows and ids
-come back as often as they came; a null id is scored and is not held out. Only
+every score is 0.5; an id that is given several texts is represented in training
+by the one of least hash; rows are never dropped or merged, so repeated rows and
+ids come back as often as they came; a null id is scored and is not held out. Only
 the id and text columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +39,9 @@ from pyspark.sql import functions as F
 from touchline.llm.common import PrefixHash, map_batches, text_bytes, words_between
 
 MAX_DOCUMENTS = 2000
-MAX_LINES = 40
+MAX_LINES = 128
+#: Lines whose features stand together.
+BLOCK_LINES = 1 << 15
 
 _SYMBOLS = b"#$%&*@^~<>_=+\\/{}[]`"
 _STOPS = b".!?"
@@ -64,6 +73,11 @@ N_FEATURES = 3 * N_OWN + 3
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features (lines x N_FEATURES), byte length of each line, number of lines
     of each text (at least one)."""
+    own, length, n_lines = _own_features(texts)
+    return _with_neighbours(own, n_lines, 0, len(own)), length, n_lines
+
+
+def _own_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = b"".join(t + b"\n" for t in texts)
     buf = np.frombuffer(raw, np.uint8)
     ends = np.flatnonzero(buf == 10)
@@ -93,17 +107,26 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     last = np.maximum(ends - 1, 0)
     own[:, k + 5] = (length > 0) & _IS_STOP[buf[last]]
 
-    first_line = np.concatenate(([0], np.cumsum(n_lines)[:-1]))
-    is_first = np.zeros(len(starts), bool)
-    is_first[first_line] = True
-    is_last = np.zeros(len(starts), bool)
-    is_last[first_line + n_lines - 1] = True
-    before = np.vstack((own[:1], own[:-1]))
-    before[is_first] = 0
-    after = np.vstack((own[1:], own[-1:]))
-    after[is_last] = 0
-    x = np.hstack((own, before, after, is_first[:, None], is_last[:, None], np.ones((len(starts), 1)))).astype(np.float32)
-    return x, length, n_lines
+    return own, length, n_lines
+
+
+def _with_neighbours(own: np.ndarray, n_lines: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Features of lines a..b-1: their own, those of the lines before and after
+    (zero beyond a text's ends), which ends they are at, and a constant."""
+    x = np.zeros((b - a, N_FEATURES), np.float32)
+    last = np.cumsum(n_lines) - 1
+    is_last = np.zeros(len(own) + 1, bool)
+    is_last[last] = is_last[-1] = True
+    first, end = is_last[np.arange(a, b) - 1], is_last[a:b]
+    x[:, :N_OWN] = own[a:b]
+    x[1:, N_OWN : 2 * N_OWN] = own[a : b - 1]
+    x[0, N_OWN : 2 * N_OWN] = own[a - 1]
+    x[first, N_OWN : 2 * N_OWN] = 0
+    x[:-1, 2 * N_OWN : 3 * N_OWN] = own[a + 1 : b]
+    x[-1, 2 * N_OWN : 3 * N_OWN] = own[b % len(own)]
+    x[end, 2 * N_OWN : 3 * N_OWN] = 0
+    x[:, -3], x[:, -2], x[:, -1] = first, end, 1
+    return x
 
 
 @dataclass
@@ -120,14 +143,18 @@ class LineCrf:
 
     def marginals(self, u: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
         """P(good) of every line, given node potentials laid end to end."""
-        grid, order = _grid(u, n_lines)
-        a, b = _messages(grid, np.sort(n_lines)[::-1], self.edges)
-        return _flat(1 / (1 + np.exp(-np.clip(a + b, -60, 60))), n_lines, order)
+        p = np.empty(len(u))
+        for docs, lines in _groups(n_lines):
+            grid, order = _grid(u[lines], n_lines[docs])
+            a, b = _messages(grid, n_lines[docs][order], self.edges)
+            p[lines] = _flat(1 / (1 + np.exp(-np.clip(a + b, -60, 60))), n_lines[docs], order)
+        return p
 
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Score, number of lines and number of lines more likely bad, by text."""
-        x, length, n_lines = line_features(texts)
-        p = self.marginals(self.node(x), n_lines)
+        own, length, n_lines = _own_features(texts)
+        u = [self.node(_with_neighbours(own, n_lines, a, min(a + BLOCK_LINES, len(own)))) for a in range(0, len(own), BLOCK_LINES)]
+        p = self.marginals(np.concatenate(u), n_lines)
         at = np.concatenate(([0], np.cumsum(n_lines)[:-1]))
         weight = np.maximum(length, 1).astype(np.float64)
         share = np.add.reduceat(p * weight, at) / np.add.reduceat(weight, at)
@@ -140,6 +167,16 @@ def _log_odds(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def _groups(n_lines: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(documents, their lines) by powers of two of the line count."""
+    size = np.frexp(n_lines)[1]
+    at = np.cumsum(n_lines) - n_lines
+    for k in np.unique(size):
+        docs = np.flatnonzero(size == k)
+        n = n_lines[docs]
+        yield docs, np.repeat(at[docs] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def _grid(u: np.ndarray, n_lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position, document) layout, longest documents first."""
     order = np.argsort(-n_lines, kind="stable")
@@ -216,30 +253,36 @@ def _calibrate(model: LineCrf, x: np.ndarray, length: np.ndarray, n_lines: np.nd
 
 def _ascend(model: LineCrf, z: np.ndarray, y: np.ndarray, n_lines: np.ndarray, weight: np.ndarray, steps: int, decay: float) -> None:
     """Adam on the conditional log likelihood, full batch."""
-    order = np.argsort(-n_lines, kind="stable")
-    lengths = n_lines[order]
     w_line = np.repeat(weight, n_lines)
-    w_doc = weight[order]
-    y_grid, _ = _grid(y, n_lines)
-    inside = np.arange(len(y_grid))[1:, None] < lengths[None, :]
-    seen = np.array([[(w_doc * inside * (y_grid[:-1] == i) * (y_grid[1:] == j)).sum() for j in (0, 1)] for i in (0, 1)])
     total = w_line.sum()
+    parts = []
+    for docs, lines in _groups(n_lines):
+        n = n_lines[docs]
+        y_grid, order = _grid(y[lines], n)
+        inside = np.arange(len(y_grid))[1:, None] < n[order][None, :]
+        w_doc = weight[docs][order]
+        seen = np.array([(w_doc * inside * (y_grid[:-1] == i) * (y_grid[1:] == j)).sum() for i in (0, 1) for j in (0, 1)])
+        parts.append((lines, n, order, inside, w_doc, seen))
     theta = np.concatenate((model.weights, model.edges.ravel()))
     m = np.zeros_like(theta)
     v = np.zeros_like(theta)
     for step in range(1, steps + 1):
         t = theta[-4:].reshape(2, 2)
-        u, _ = _grid(z @ theta[:-4], n_lines)
-        a, b = _messages(u, lengths, t)
-        p = 1 / (1 + np.exp(-np.clip(a + b, -60, 60)))
-        g_node = z.T @ (w_line * (y - _flat(p, n_lines, order))) / total
-        q = u[1:] + b[1:]
-        e = [t[0, 0] + 0 * q, t[0, 1] + q, a[:-1] + t[1, 0], a[:-1] + t[1, 1] + q]
-        top = np.maximum.reduce(e) if len(q) else 0
-        e = [np.exp(k - top) for k in e]
-        norm = sum(e)
-        g_edge = np.array([seen.ravel()[k] - (w_doc * inside * e[k] / norm).sum() for k in range(4)]) / total
-        g = np.concatenate((g_node, g_edge)) - decay * theta
+        node = z @ theta[:-4]
+        p = np.empty(len(y))
+        g_edge = np.zeros(4)
+        for lines, n, order, inside, w_doc, seen in parts:
+            u, _ = _grid(node[lines], n)
+            a, b = _messages(u, n[order], t)
+            p[lines] = _flat(1 / (1 + np.exp(-np.clip(a + b, -60, 60))), n, order)
+            q = u[1:] + b[1:]
+            e = [t[0, 0] + 0 * q, t[0, 1] + q, a[:-1] + t[1, 0], a[:-1] + t[1, 1] + q]
+            top = np.maximum.reduce(e) if len(q) else 0
+            e = [np.exp(k - top) for k in e]
+            norm = sum(e)
+            g_edge += [seen[k] - (w_doc * inside * e[k] / norm).sum() for k in range(4)]
+        g_node = z.T @ (w_line * (y - p))
+        g = np.concatenate((g_node, g_edge)) / total - decay * theta
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         theta = theta + 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -266,17 +309,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
         .select("__id", F.col("__low").alias("__y"))
     )
     # broadcast: max_documents rows of two numbers
-    rows = docs.select(key.alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id")
-    rows = rows.where(F.length(F.translate("__text", "\n", "\n\n")) - F.length("__text") < max_lines).select("__id", "__y", "__text")
+    rows = docs.select(key.alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id")
+    one = F.min(F.struct(F.xxhash64("__text").alias("h"), F.col("__text").alias("__text"))).alias("s")
+    rows = rows.groupBy("__id", "__y").agg(one).select("__id", "__y", "s.__text")
 
     def features(batch: pa.RecordBatch):
         x, length, n = line_features(text_bytes(batch.column(2)))
-        cuts = np.concatenate(([0], np.cumsum(n)))
         x = np.hstack((x, length[:, None].astype(np.float32)))
-        blobs = [x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())], ["id", "y", "n", "x"])
-
-    found = map_batches(rows, features, "id long, y int, n int, x binary").dropDuplicates(["id"]).toPandas().sort_values("id")
+        first = np.cumsum(n) - n
+        spare = np.maximum(n - max_lines, 0)
+        first += np.array([zlib.crc32(str(i).encode()) for i in batch.column(0).to_pylist()], np.int64) % (spare + 1)
+        kept = n - spare
+        blobs = [x[a:b].tobytes() for a, b in zip(first.tolist(), (first + kept).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.int32()), pa.array(blobs, pa.binary())], ["id", "y", "n", "x"])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    found = map_batches(rows, features, f"id {kind}, y int, n int, x binary").toPandas().sort_values("id")
     if not len(found):
         return LineCrf(np.zeros(N_FEATURES), np.zeros((2, 2)), np.zeros(N_FEATURES, np.float32), np.ones(N_FEATURES, np.float32))
     x = np.frombuffer(b"".join(found.x), np.float32).reshape(-1, N_FEATURES + 1)

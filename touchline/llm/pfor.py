@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import ship_package, split_batch
+from touchline.llm.common import kept, ship_package, split_batch
 
 BLOCK = 1024
 SEGMENT_IDS = 1 << 20
@@ -43,6 +43,8 @@ PERCENTILE = 0.9
 CACHE_CHUNKS = 600_000
 #: Chunks asked of the library in one call.
 JOINED = 2_000
+#: Text bytes encoded together.
+GROUP_BYTES = 4 << 20
 
 SEGMENT = "shard int, segment int, shard_start long, n_ids long, doc_ids array<long>, n_tokens array<long>, block_starts binary, blocks binary"
 
@@ -229,14 +231,12 @@ class ChunkEncoder:
         return [ids[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def _encoder(tokenizer_file: str) -> ChunkEncoder:
     """One for each worker process, kept between its tasks."""
-    if tokenizer_file not in _encoders:
-        _encoders[tokenizer_file] = ChunkEncoder(tokenizer_file)
-    return _encoders[tokenizer_file]
+    encoders = kept(__name__)
+    if tokenizer_file not in encoders:
+        encoders[tokenizer_file] = ChunkEncoder(tokenizer_file)
+    return encoders[tokenizer_file]
 
 
 # --- files --------------------------------------------------------------------
@@ -267,7 +267,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, doc_
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for piece in split_batch(batch):
+            for piece in split_batch(batch, GROUP_BYTES):
                 for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1)), strict=True):
                     names.append(name)
                     counts.append(len(ids) // 4 + 1)
