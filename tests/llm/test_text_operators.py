@@ -55,6 +55,32 @@ def test_classifier_learns_and_covers_odd_rows(spark, odd_docs, no_docs):
     assert {r.score for r in line_crf.score(odd_docs, blank).collect()} == {0.5}
 
 
+def test_long_texts_take_memory_by_their_lines():
+    """One text of very many lines beside many short ones, and a long labelled one."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    model = line_crf.LineCrf(rng.normal(size=line_crf.N_FEATURES) * 0.1, rng.normal(size=(2, 2)), np.zeros(line_crf.N_FEATURES), np.ones(line_crf.N_FEATURES))
+    texts = [b"some line of text\nother line"] * 1000 + [b"a\n" * 60_000]
+    tracemalloc.start()
+    score, n, _ = model.scores(texts)
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    assert n[-1] == 60_001 and len(set(score[:1000])) == 1
+
+
+def test_labelled_text_of_many_lines_gives_a_bounded_stretch(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_crf, "fit", lambda x, length, n, y: seen.append((n.tolist(), y.tolist())))
+    docs = spark.createDataFrame([(0, "x\n" * 1_000_000), (1, "short"), (2, "other\ntext"), (2, "two texts")], "doc_id long, text string")
+    ids = [i for i in range(3) if not docs.select(line_crf.held_out(F.lit(i))).first()[0]]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    line_crf.train(docs, labels)
+    n, y = seen[0]
+    assert len(n) == len(ids) and max(n) <= line_crf.MAX_LINES and y == [i % 2 for i in ids]
+    assert 0 not in ids or n[ids.index(0)] == line_crf.MAX_LINES
+
+
 # --- 2 token files
 
 
@@ -203,6 +229,26 @@ def test_bpe_long_words_take_the_library(spark):
     assert model.decode(model.encode([word, " " + word])) == [word.encode(), (" " + word).encode()]
 
 
+def test_bpe_takes_long_texts_in_pieces(spark, monkeypatch):
+    import tiktoken
+
+    name = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    model = duck_bpe._model(name, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.ranks, special_tokens={})
+    rng = np.random.default_rng(6)
+    parts = ["word", " ", "  ", "\n", " \n", "\t", "it's", "é", "東京", "1234", "\u00a0", "\0", "...", " a"]
+    texts = ["".join(rng.choice(parts, n)) for n in (0, 1, 40, 400, 3_000)] + [" ".join(f"w{i}" for i in range(2_000))]
+    monkeypatch.setattr(duck_bpe, "PIECE_CHARS", 50)
+    monkeypatch.setattr(duck_bpe, "ASKED", 7)
+    ids = model.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [library.encode_ordinary(t) for t in texts]
+    assert model.decode(ids) == [t.encode() for t in texts]
+    sorted_query = duck_bpe.DECODE_SORTED
+    backwards = "select d, string_agg(chars, ''), list(p) from (select t.d, t.p, v.chars from tokens t join vocabulary v on v.id = t.id order by t.p desc) group by d"
+    monkeypatch.setattr(duck_bpe, "DECODE", backwards)  # rows in another order are noticed
+    assert sorted_query == duck_bpe.DECODE_SORTED and model.decode(ids) == [t.encode() for t in texts]
+
+
 def test_bpe_long_words_have_the_ids_of_the_library():
     import tiktoken
 

@@ -6,14 +6,16 @@ into words by the given pattern. Distinct words start as rows of byte tokens;
 a recursive query unnests every unfinished word into token-position rows, joins
 neighbouring pairs with the merge table, contracts the leftmost pair of least
 rank in each word, and goes on until no word has a pair left. Decoding joins
-the ids of whole texts with the vocabulary and concatenates the bytes by an
+the ids of whole texts with the vocabulary and concatenates their bytes by an
 ordered aggregation.
 
-A worker keeps words it has encoded (a bounded number, forgotten together). A
-word that is itself in the vocabulary is one id from the start. One contraction
-a round takes time quadratic in the word's length, so words of more than
-``LONG_WORD`` bytes (unbroken runs) are encoded by the tiktoken library from
-the same ranks; the result is the same.
+A worker keeps words and chunks it has met (bounded numbers, forgotten
+together), and long texts and large sets of new words go through in slices, so
+that neither a query nor the worker grows with a text. A word that is itself in
+the vocabulary is one id from the start. One contraction a round takes time
+quadratic in the word's length, so words of more than ``LONG_WORD`` bytes
+(unbroken runs) are encoded by the tiktoken library from the same ranks; the
+result is the same.
 
 Defined results: null text is empty; an empty text has no ids and decodes to no
 bytes; rows are never dropped or merged, so repeated rows and null ids come
@@ -25,6 +27,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
@@ -32,11 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import map_batches
+from touchline.llm.common import kept, map_batches
 
 #: Entries each of a worker's two caches may hold (bounds memory, not results).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 LONG_WORD = 400
+#: Characters of a text taken at once, and new words asked of one query.
+PIECE_CHARS = 1 << 20
+ASKED = 20_000
+#: Text bytes encoded together: the more, the fewer queries.
+GROUP_BYTES = 4 << 20
 
 ENCODE = """
 with recursive state(w, live, ids) as (
@@ -55,7 +64,13 @@ with recursive state(w, live, ids) as (
 select w, ids from state where not live order by w
 """
 
-DECODE = "select t.d, string_agg(v.hex, '' order by t.p) as hex from tokens t join vocabulary v on v.id = t.id group by t.d"
+# the aggregate reads sorted rows; the places it returns prove that it kept their order
+DECODE = "select d, string_agg(chars, ''), list(p) from (select t.d, t.p, v.chars from tokens t join vocabulary v on v.id = t.id order by t.p) group by d"
+DECODE_SORTED = "select t.d, string_agg(v.chars, '' order by t.p) from tokens t join vocabulary v on v.id = t.id group by t.d"
+
+#: Stands for the byte 0 in the vocabulary's text, where a byte is the character of its number.
+_ZERO = "\u0100"
+_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class DuckBpe:
@@ -76,7 +91,7 @@ class DuckBpe:
                     pairs.append(a << 20 | b)
                     merged.append(rank)
         table = pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())})
-        vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]})
+        vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1").replace("\0", _ZERO) for t in ranks]})
         self.con.register("t0", table)
         self.con.execute("create table merges as select * from t0")
         self.con.register("t1", vocabulary)
@@ -103,8 +118,10 @@ class DuckBpe:
             else:
                 fresh.append(raw)
                 names.append(word)
-        if not fresh:
-            return
+        for a in range(0, len(fresh), ASKED):
+            self._ask(names[a : a + ASKED], fresh[a : a + ASKED])
+
+    def _ask(self, names: list[str], fresh: list[bytes]) -> None:
         lens = np.array([len(x) for x in fresh])
         w = np.repeat(np.arange(len(fresh), dtype=np.int32), lens)
         p = np.arange(len(w)) - np.repeat(np.cumsum(lens) - lens, lens)
@@ -123,9 +140,13 @@ class DuckBpe:
         return self._library._encode_single_piece(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers.
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        short = [i for i, x in enumerate(texts) if len(x) <= PIECE_CHARS]
+        out = dict(zip(short, self._encode([texts[i] for i in short]), strict=True))
+        return [out[i] if i in out else b"".join(self._encode([piece])[0] for piece in _pieces(x)) for i, x in enumerate(texts)]
 
-        The pattern never joins a character to a single space after it, so
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """The pattern never joins a character to a single space after it, so
         texts are cut before every space and distinct chunks are split into
         words once; a text with a chunk that begins or ends with white space
         (a run of it) is split whole.
@@ -157,28 +178,52 @@ class DuckBpe:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each list of ids stands for."""
-        lens = np.array([len(x) // 4 for x in ids])
-        d = np.repeat(np.arange(len(ids), dtype=np.int32), lens)
-        p = (np.arange(len(d)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
-        self.con.register("tokens", pa.table({"d": d, "p": p, "id": np.frombuffer(b"".join(ids), "<u4").astype(np.int32)}))
+        out: list[list[bytes]] = [[] for _ in ids]
+        held: list[tuple[int, bytes]] = []
+        n = 0
+        for k, raw in enumerate(ids):
+            for a in range(0, len(raw), 4 * PIECE_CHARS):
+                held.append((k, raw[a : a + 4 * PIECE_CHARS]))
+                n += len(held[-1][1]) // 4
+                if n >= PIECE_CHARS:
+                    self._put_together(held, out)
+                    held, n = [], 0
+        self._put_together(held, out)
+        return [b"".join(parts) for parts in out]
+
+    def _put_together(self, held: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
+        if not held:
+            return
+        lens = np.array([len(x) // 4 for _, x in held])
+        d = np.repeat(np.arange(len(held), dtype=np.int32), lens)
+        self.con.register("tokens", pa.table({"d": d, "p": np.arange(len(d), dtype=np.int32), "id": np.frombuffer(b"".join(x for _, x in held), "<u4").astype(np.int32)}))
         found = self.con.sql(DECODE).to_arrow_table()
+        place = found.column(2).combine_chunks().flatten().to_numpy()
+        if (np.diff(place)[np.diff(d[place]) == 0] < 0).any():  # not in the order they were sorted
+            found = self.con.sql(DECODE_SORTED).to_arrow_table()
         self.con.unregister("tokens")
-        out = [b""] * len(ids)
-        for k, x in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
-            out[k] = bytes.fromhex(x)
-        return out
+        for k, x in sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True)):
+            out[held[k][0]].append(x.replace(_ZERO, "\0").encode("latin-1"))
 
 
-_models: dict[tuple[str, str], DuckBpe] = {}
+def _pieces(text: str) -> Iterator[str]:
+    """A long text cut before single spaces, about every PIECE_CHARS."""
+    at = 0
+    while at < len(text):
+        cut = _LONE_SPACE.search(text, at + PIECE_CHARS)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 def _model(rank_file: str, pattern: str) -> DuckBpe:
     """One for each worker process, kept between its tasks."""
-    if (rank_file, pattern) not in _models:
+    models = kept(__name__)
+    if (rank_file, pattern) not in models:
         with open(rank_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _models[rank_file, pattern] = DuckBpe(ranks, pattern)
-    return _models[rank_file, pattern]
+        models[rank_file, pattern] = DuckBpe(ranks, pattern)
+    return models[rank_file, pattern]
 
 
 def encode_texts(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -188,7 +233,7 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "d
         ids = _model(rank_file, pattern).encode(["" if x is None else x for x in batch.column(1).to_pylist()])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids binary")
+    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids binary", GROUP_BYTES)
 
 
 def decode_ids(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -198,7 +243,7 @@ def decode_ids(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
         out = _model(rank_file, pattern).decode(batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "bytes"])
 
-    return map_batches(encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")), run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, bytes binary")
+    return map_batches(encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")), run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, bytes binary", GROUP_BYTES)
 
 
 def encode_checked(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,7 +258,7 @@ def encode_checked(docs: DataFrame, rank_file: str, pattern: str, doc_id: str =
         columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string()), pa.array([x == t.encode() for x, t in zip(back, texts, strict=True)], pa.bool_())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded_sha256", "exact"])
 
-    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded_sha256 string, exact boolean")
+    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded_sha256 string, exact boolean", GROUP_BYTES)
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,7 +272,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc
         columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(digest, ids)), pa.array(map(digest, model.decode(ids)))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(_rows(docs, doc_id, text), run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string", GROUP_BYTES)
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
