@@ -16,15 +16,19 @@ covers the rest exactly: in every band whose members are still in several
 components, the members outside its largest component are compared with all
 members of other components. Bands of up to ``SMALL`` members do so by a join on
 the band; larger ones bring the members of all bands with the same largest
-component together once, in blocks of ``BLOCK``, and compare blocks with blocks
-of outside members inside a task, so no pair is shuffled. Candidates first pass the collision-corrected
+component together once, in blocks of about ``BLOCK`` members or ``BLOCK_SHINGLES``
+shingles, and compare blocks with blocks of outside members inside a task, so no
+pair is shuffled. Candidates first pass the collision-corrected
 estimate with a margin of six standard errors; links are confirmed on full sets.
 
 Defined results: null and empty texts and texts without words have empty sets
 and link with nothing; a text with fewer words than a shingle has its whole
 sequence as its one shingle; repeated rows come back as often as they came and
-share a class; rows of null id keep a null component; an empty table gives no
-rows. Only the id and text columns are read.
+share a class; an id that carries several texts is one document, so it joins
+the groups of all its texts (but not of an empty one); rows of null id link like
+others, take the smallest id of their group as component and aren't kept, unless
+the group has no id at all (null component, kept); an empty table gives no rows.
+Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -48,6 +52,7 @@ VALUE_BITS = 40
 HUBS = 6
 SMALL = 32
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
 
 _U = np.uint64
 
@@ -75,10 +80,10 @@ def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
         if b - a >= shingle:
             out.append(np.unique(together[a : b - shingle + 1]))
         elif b > a:
-            whole = _U(b - a)
-            for x in h[a:b]:
-                whole = mix((whole * _U(0x9FB21C651E98DF25) + x).reshape(1))[0]
-            out.append(np.array([whole], _U))
+            whole = np.array([b - a], _U)
+            for i in range(a, b):
+                whole = mix(whole * _U(0x9FB21C651E98DF25) + h[i : i + 1])
+            out.append(whole)
         else:
             out.append(np.zeros(0, _U))
     return out
@@ -133,7 +138,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_shingles, component_id, kept) of every row. Documents are
     linked if 100 * |A & B| >= percent * |A | B|; ``component_id`` is the
     smallest doc_id reachable, ``kept`` marks it."""
+    # a row is found again by its id and the hashes of its text
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumns({"h": F.xxhash64("text"), "g": F.hash("text")})
 
     def sketch(batch: pa.RecordBatch):
         texts = [normal_words(x) for x in text_bytes(batch.column(1))]
@@ -141,16 +148,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         regs = registers(sets)
         columns = [
             batch.column(0),
+            batch.column(2),
+            batch.column(3),
             pa.array([hashlib.md5(t).digest() if t else None for t in texts], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([r.tobytes() for r in regs], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sequence", "n", "regs"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "g", "sequence", "n", "regs"])
 
-    sketches = stored(map_batches(rows, sketch, "doc_id long, sequence binary, n long, regs binary"), "sketches")
-    # one class for each sequence of words; its smallest id speaks for it
-    members = sketches.where("sequence is not null and doc_id is not null")
-    classes = stored(members.groupBy("sequence").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs")), "classes")
+    sketches = stored(map_batches(rows, sketch, "doc_id long, h long, g int, sequence binary, n long, regs binary"), "sketches")
+    # one class, numbered when written, for each sequence of words; one of its rows speaks for it
+    members = sketches.where("sequence is not null")
+    speaker = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "g")).alias("of")
+    classes = members.groupBy("sequence").agg(speaker, F.first("n").alias("n"), F.first("regs").alias("regs"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     def bands(batch: pa.RecordBatch):
         regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
@@ -165,8 +176,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = stored(banded.select("band", "id").join(hubs, "band"), "bands")
 
     # texts of the classes that share a band: the only ones compared
-    need = shared.select("id").distinct()
-    bare = _texts_of(rows, need)
+    bare = _texts_of(rows, classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "of.doc_id", "of.h", "of.g"), members)
 
     first = shared.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     links = _confirm(first, classes, bare, shingle, percent)
@@ -184,28 +194,46 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rest = rest.join(first, ["a", "b"], "left_anti")
     large = _compare_blocks(open_rows.where(F.col("size") > SMALL), classes, bare, shingle, percent)
     more = _confirm(rest, classes, bare, shingle, percent)
-    parts = connected_components(links.unionByName(more).unionByName(large))
+    parts = connected_components(links.unionByName(more).unionByName(large).unionByName(_same_document(members, classes)))
 
-    found = classes.join(parts, F.col("id") == F.col("vertex"), "left").select("sequence", F.coalesce("component", "id").alias("component_id"))
+    grouped = classes.join(parts, F.col("id") == F.col("vertex"), "left").select("sequence", "of.doc_id", F.coalesce("component", "id").alias("group"))
+    smallest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    found = grouped.select("sequence", "group").join(smallest, "group").select("sequence", "component_id")
     out = sketches.select("doc_id", "n", "sequence").join(found, "sequence", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    kept = F.when(F.col("doc_id").isNull(), component.isNull()).otherwise(F.col("doc_id") == component)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
-def _texts_of(rows: DataFrame, need: DataFrame) -> DataFrame:
-    """(id, text) of the needed classes, one shuffle of the texts."""
-    ids = need.hint("shuffle_hash")
-    return stored(rows.join(ids, rows.doc_id == ids.id, "left_semi").select(F.col("doc_id").alias("id"), "text").where("text is not null"), "texts")
+def _same_document(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one id's texts."""
+    named = members.where("doc_id is not null")
+    s = F.xxhash64("sequence")
+    several = named.groupBy("doc_id").agg(F.min(s).alias("low"), F.max(s).alias("high")).where("low <> high").select("doc_id")
+    theirs = stored(named.join(several, "doc_id", "left_semi").select("doc_id", "sequence").distinct(), "several-texts")
+    theirs = theirs.join(classes.select("sequence", "id"), "sequence")
+    return theirs.join(theirs.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b"))
+
+
+def _texts_of(rows: DataFrame, speakers: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, text) of the classes of ``speakers``, one shuffle of the texts."""
+    t, k = rows.alias("t"), speakers.hint("shuffle_hash").alias("k")
+    same = F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.h") == F.col("k.h")) & (F.col("t.g") == F.col("k.g"))
+    found = t.where("t.text is not null").join(k, same).select("k.id", "t.text")
+    if members.groupBy("doc_id", "h", "g").count().where("count > 1").limit(1).count():  # rows that repeat
+        found = found.groupBy("id").agg(F.first("text").alias("text"))
+    return stored(found, "texts")
 
 
 def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) of members outside a band's largest component with members
     of other components, for ``rows`` (id, component, top). A member needs one
     link with each other component, so the likeliest come first."""
-    arena = rows.groupBy("top", "id").agg(F.first("component").alias("component"))
-    sizes = arena.groupBy("top").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("top")).alias("n_out"))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    arena = arena.join(sizes, "top").select("top", "id", "component", blocks("n").alias("p"), blocks("n_out").alias("q"))
+    arena = rows.groupBy("top", "id").agg(F.first("component").alias("component")).join(classes.select("id", "n"), "id")
+    out = F.col("component") != F.col("top")
+    sizes = arena.groupBy("top").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.count_if(out).alias("m_out"), F.sum(F.when(out, F.col("n")).otherwise(0)).alias("s_out"))
+    blocks = lambda m, s: F.greatest(F.ceil(F.col(m) / BLOCK), F.ceil(F.col(s) / BLOCK_SHINGLES)).cast("int")
+    arena = arena.join(sizes, "top").select("top", "id", "component", blocks("m", "s").alias("p"), blocks("m_out", "s_out").alias("q"))
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     inner = arena.select("top", "id", "component", dealt("p").alias("x"), every("q").alias("y"), F.lit(False).alias("out"))
