@@ -21,7 +21,8 @@ tree and blocks, and all lengths go through the same steps together.
 Defined results: vectors that are null, zero or hold null or non-finite
 components link with nothing; identical vectors are one class with a
 multiplicity; repeated rows come back as often as they came; rows of null id are
-not compared and have a null component; an empty table gives no rows. Only the
+compared like others, take the smallest id of their group as component and are
+kept only where the group has none; an id with several vectors joins their groups; an empty table gives no rows. Only the
 id and vector columns are read.
 """
 
@@ -166,12 +167,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id",
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
     good = F.size("v") > 0
     good = good & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
-    rows = stored(rows.withColumn("good", F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull()), "vectors")
+    rows = stored(rows.withColumn("good", F.coalesce(good, F.lit(False))), "vectors")
 
     # identical vectors are one class
-    classes = rows.where("good").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    classes = stored(classes, "vector-classes")
-    order = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("id"), "id")
+    classes = rows.where("good").groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")  # numbered when written
+    order = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("v"), "id")
     picked = classes.select("v", F.row_number().over(order).alias("k")).where(F.col("k") <= SAMPLE).orderBy("k").select("v").toPandas()
     if not len(picked):
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -234,12 +235,19 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id",
 
     found = stored(dealt.join(sides, "block").groupBy("x", "y").applyInPandas(compare, "d int, id long, n long, to long"), "vector-links")
     counts = found.where("n > 0").groupBy("d", "id").agg(F.sum("n").alias("n"))
-    parts_of = connected_components(found.where("id <> to"), "id", "to")
+    several = rows.where("good and vec_id is not null").groupBy("vec_id").agg(F.min(F.xxhash64("v")).alias("low"), F.max(F.xxhash64("v")).alias("high")).where("low <> high").select("vec_id")
+    theirs = rows.where("good").join(several, "vec_id", "left_semi").select("vec_id", "v").distinct().join(classes.select("v", "id"), "v").select("vec_id", "id")
+    theirs = stored(theirs, "several-vectors")
+    same_id = theirs.join(theirs.groupBy("vec_id").agg(F.min("id").alias("to")), "vec_id").select("id", "to")
+    parts_of = connected_components(found.where("id <> to").select("id", "to").unionByName(same_id), "id", "to")
     by_class = classes.withColumn("d", F.size("v")).join(counts, ["d", "id"], "left").join(parts_of, F.col("id") == F.col("vertex"), "left")
-    by_class = by_class.select(F.col("v").alias("cv"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    by_class = by_class.select(F.col("v").alias("cv"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "vec_id", F.coalesce("component", "id").alias("group"))
+    smallest = by_class.groupBy("group").agg(F.min("vec_id").alias("component_id"))
+    by_class = by_class.drop("vec_id").join(smallest, "group")
     out = rows.join(by_class, F.when(F.col("good"), F.col("v")) == F.col("cv"), "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    kept = F.when(F.col("vec_id").isNull(), component.isNull()).otherwise(F.col("vec_id") == component)
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), kept.alias("kept"))
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
