@@ -14,7 +14,8 @@ candidates; the comparison folds A-Z alone.
 
 Defined results: null text has no words; a document or item without words has
 no hits; repeated rows come back as often as they came, repeated items count by
-their item_id; null ids are kept; empty tables give no hits. Only the id and
+their item_id; a null doc_id stays null, a null item_id counts as an item whose
+id is the empty string; empty tables give no hits. Only the id and
 text columns are read.
 """
 
@@ -62,22 +63,23 @@ def contaminated_words(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
         raise ValueError("gram must be between 1 and span")
     fold = lambda c: F.translate(c, UPPER, LOWER)
 
-    item_rows = items.select(F.col(item_id).cast("string").alias("item_id"), words(fold(F.col(item_text).cast("string"))).alias("item_words")).where(F.size("item_words") > 0).dropDuplicates()
-    item_rows = stored(item_rows, "items")
+    item_rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), words(fold(F.col(item_text).cast("string"))).alias("item_words")).where(F.size("item_words") > 0).dropDuplicates()
+    item_rows = stored(item_rows.withColumn("item", F.monotonically_increasing_id()), "items")  # numbered when written
     short = sorted(r[0] for r in item_rows.select(F.size("item_words").alias("n")).where(F.col("n") < span).distinct().collect())  # fewer than span numbers
     classes = [(gram, span - gram + 1), *((n, 1) for n in short)]
     of_item = []
     for i, (k, w) in enumerate(classes):
         chosen = item_rows.where(F.size("item_words") >= span if i == 0 else F.size("item_words") == k)
-        hashed = chosen.select("item_id", "item_words", word_hashes(F.col("item_words")).alias("h"))
-        gs = hashed.select("item_id", "item_words", grams(F.col("h"), k).alias("g"))
-        rows = gs.select("item_id", "item_words", kept(F.col("g"), w).alias("kept"), F.posexplode("g").alias("item_pos", "fp"))
-        of_item.append(rows.where(F.array_contains("kept", F.col("fp"))).select(F.lit(k).alias("k"), "fp", "item_id", "item_words", "item_pos"))
+        gs = chosen.select("item", word_hashes(F.col("item_words")).alias("h")).select("item", grams(F.col("h"), k).alias("g"))
+        places = gs.select("item", F.posexplode("g").alias("item_pos", "fp"))
+        if w > 1:
+            places = places.join(gs.select("item", F.explode(kept(F.col("g"), w)).alias("fp")), ["item", "fp"], "left_semi")
+        of_item.append(places.select(F.lit(k).alias("k"), "fp", "item", "item_pos"))
     prints = of_item[0]
     for x in of_item[1:]:
         prints = prints.unionByName(x)
     prints = stored(prints, "item-prints")
-    small = prints.count() <= BROADCAST_ROWS
+    small = prints.count() <= BROADCAST_ROWS  # four numbers a row
     checked = F.broadcast if small else (lambda df: df)
 
     # 1: fingerprints of all documents, joined with the items'
@@ -100,7 +102,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
     for k, _ in classes:
         # the word hashes are a column: inside the gram's lambda they would be computed again for every position
         at = texts.select("doc_id", "text_hash", F.posexplode(grams(F.col("h"), k)).alias("pos", "fp"))
-        found.append(at.join(checked(prints.where(F.col("k") == k)), "fp").select("doc_id", "text_hash", "item_id", "item_words", (F.col("pos") - F.col("item_pos")).alias("offset")))
+        found.append(at.join(checked(prints.where(F.col("k") == k)), "fp").select("doc_id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("offset")))
     diagonals = found[0]
     for x in found[1:]:
         diagonals = diagonals.unionByName(x)
@@ -108,7 +110,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
 
     # 3: extension along each diagonal: "1" where the words are equal
     same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.text_hash") == F.col("x.text_hash"))
-    pairs = diagonals.alias("d").join(texts.select("doc_id", "text_hash", "w").alias("x"), same)
+    # an item's words join once a diagonal
+    pairs = diagonals.join(item_rows, "item").alias("d").join(texts.select("doc_id", "text_hash", "w").alias("x"), same)
     lead = F.greatest(F.lit(0), -F.col("offset"))  # item words before the document begins
     part = F.slice("w", F.greatest(F.lit(1), F.col("offset") + 1), F.size("item_words") - lead)
     equal = F.array_join(F.zip_with(part, F.slice("item_words", lead + 1, F.size("item_words")), lambda a, b: F.when(a == b, "1").otherwise("0")), "")
