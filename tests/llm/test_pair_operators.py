@@ -59,6 +59,19 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs, monkeypatch
     assert hyperminhash.near_duplicates(odd_docs).count() == 8
 
 
+def test_ids_with_several_texts_and_null_ids_link(spark):
+    base = [" ".join(f"{x}{i}" for i in range(60)) for x in "abcd"]
+    rows = [(1, base[0]), (1, base[1]), (2, base[1] + " x"), (3, base[0] + " y"), (3, ""), (1, base[0]), (7, base[2]), (None, base[2] + " z"), (6, base[2] + " z w"), (None, base[3]), (None, base[3]), (9, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = hyperminhash.near_duplicates(docs, shingle=2).collect()
+    have = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got)
+    assert have == sorted(
+        [(False, 1, 59, 1, True)] * 3
+        + [(False, 2, 60, 1, False), (False, 3, 60, 1, False), (False, 3, 0, 3, True), (False, 7, 59, 6, False), (True, 0, 60, 6, False), (False, 6, 61, 6, True), (False, 9, 1, 9, True)]
+        + [(True, 0, 59, 0, True)] * 2
+    )
+
+
 def test_estimate_is_close():
     rng = np.random.default_rng(1)
     shared = rng.integers(0, 2**63, 4000, dtype=np.uint64)
@@ -85,12 +98,20 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     u = v / np.linalg.norm(v, axis=1)[:, None]
     g = (u @ u.T >= 0.9) & ~np.eye(len(v), dtype=bool)
     want = _components(range(len(v)), zip(*np.nonzero(g), strict=True))
-    for i in range(len(v)):
-        assert (got[i].n_links, got[i].component_id, got[i].kept) == (g[i].sum(), want[i], want[i] == i)
+    for i in range(len(v)):  # the vector without an id, a copy of vector 0, is another one
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (g[i].sum() + (g[0, i] or i == 0), want[i], want[i] == i)
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (g[0].sum() + 1, want[0], False)
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(200, 206))
     assert cover_tree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_an_id_with_several_vectors_joins_their_groups(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.1, 1.0]), (3, [1.0, 0.1]), (4, [-1.0, 0.0]), (None, [-1.0, 0.1]), (None, [0.0, -1.0])]
+    got = cover_tree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    have = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got)
+    assert have == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True), (0, 1, 4, False), (0, 0, 0, True)])
+
+
 def test_vectors_of_every_length_are_compared(spark, monkeypatch):
     monkeypatch.setattr(cover_tree, "BLOCK", 16)
     rng = np.random.default_rng(4)
@@ -127,9 +148,48 @@ def test_decontamination_equals_brute_force(spark, odd_docs, no_docs):
     assert {r.n_hit for r in winnowing.contaminated_words(odd_docs, items.limit(0)).collect()} == {0}
 
 
+def test_random_contamination_equals_brute_force(spark):
+    import random
+    import re
+
+    rng = random.Random(8)
+    say = lambda n, k: " ".join(rng.choice(["Aa", "b", "cé", "d1", "東"][:k]) for _ in range(n))
+    items = [(i, say(rng.choice([1, 2, 5, 12, 13, 14, 30]), rng.choice([2, 3, 5]))) for i in range(14)]
+    items += [(None, say(20, 5)), (None, None), ("", say(4, 5)), (3, say(16, 5)), (5, " ".join(f"long{i % 700}" for i in range(3_200)))]
+    texts = [say(rng.randint(0, 60), 5) for _ in range(40)]
+    texts += [f"{say(9, 5)} {(t or '').upper()} {say(5, 5)}" for _, t in items] + [items[-1][1][900:9_000], None, ""]
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    cut = lambda t: word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    want = {}
+    for i, t in enumerate(texts):
+        ws, hit, found = cut(t), set(), set()
+        for name, item in items:
+            xs = cut(item)
+            size = min(13, len(xs))
+            windows = {tuple(xs[k : k + size]) for k in range(len(xs) - size + 1)} if xs else set()
+            for k in range(len(ws) - size + 1):
+                if tuple(ws[k : k + size]) in windows:
+                    hit |= set(range(k, k + size))
+                    found.add("" if name is None else str(name))
+        want[i] = (len(ws), len(hit), sorted(found))
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = winnowing.contaminated_words(docs, spark.createDataFrame([(None if i is None else str(i), t) for i, t in items], "item_id string, text string"))
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.collect()} == want
+    assert sum(n > 0 for _, n, _ in want.values()) > 20
+
+
 # --- 9
 
 
+def test_many_equal_rows_leave_one_list_of_spans(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    docs = spark.createDataFrame([(1, text)] * 300 + [(None, "x" * 150), (None, "y" * 450)], "doc_id long, text string")
+    spans = suffix_ranks.repeated_spans(docs).collect()
+    assert max(len(r.starts) for r in spans if r.k == 1) < 100
+    rows = suffix_ranks.remove_repeats(docs).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in rows) == sorted([(1, len(text), len(text))] * 300 + [(0, 150, 0), (0, 450, 450)])
+
+
 def test_repeats_equal_brute_force(spark, no_docs):
     rng = np.random.default_rng(3)
     some = lambda n: "".join(rng.choice(list("abcé "), n))

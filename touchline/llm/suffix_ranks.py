@@ -90,7 +90,7 @@ def anchors(texts: list[bytes], length: int, head: int) -> tuple[np.ndarray, ...
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows with a key that is never null and tells texts of one id apart."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("k"), F.hash(t).alias("v"), t.alias("text"))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("k"), F.xxhash64(t).alias("v"), t.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
@@ -105,7 +105,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), _int(lo), _int(hi - lo), _int(back), pa.array(np.zeros(len(t), bool)), _signed(h), _signed(whole)], names)
 
     names = ["k", "v", "lo", "more", "back", "done", "rank", "stretch"]
-    schema = "k long, v int, lo int, more int, back int, done boolean, rank long, stretch long"
+    schema = "k long, v long, lo int, more int, back int, done boolean, rank long, stretch long"
     sampled = map_batches(rows.select("k", "v", "text"), sample, schema)
     shared = sampled.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
     kept = stored(sampled.join(shared, "rank"), "heads")
@@ -140,10 +140,10 @@ def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         half = length // 2
         yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), _int(p), pa.array(done[order]), _signed(prefix.of(s, s + half)), _signed(prefix.of(s + half, s + length))], ["k", "v", "lo", "done", "first", "second"])
 
-    ranked = stored(map_batches(_with_texts(rows, left), positions, "k long, v int, lo int, done boolean, first long, second long"), "ranks")
+    ranked = stored(map_batches(_with_texts(rows, left), positions, "k long, v long, lo int, done boolean, first long, second long"), "ranks")
     met = ranked.groupBy("first", "second").agg(F.count("*").alias("n")).where("n > 1").select("first", "second")
     single = ranked.where("not done").join(met, ["first", "second"], "left_semi").select("k", "v", "lo", F.col("lo").alias("hi"))
-    return decided.unionByName(more_decided).unionByName(single).groupBy("k", "v").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    return decided.unionByName(more_decided).unionByName(single).groupBy("k", "v").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
 
 
 def _int(x: np.ndarray) -> pa.Array:
