@@ -93,16 +93,33 @@ def _by_count(entries: list[tuple[str, Column]]) -> Column:
     return F.transform(present, lambda e: F.struct(e["color"].alias("color"), (-e["neg"]).alias("pixels")))
 
 
-def color_counts(files: DataFrame, keys: Sequence[str] = ("filename",)) -> DataFrame:
+def image_slices(files: DataFrame, keys: Sequence[str], slice_bytes: int) -> DataFrame:
+    """Images cut into rows of at most ``slice_bytes`` (whole pixels), dealt over
+    the shuffle partitions, so that many tasks share one large image."""
+    per = F.greatest(F.lit(1), F.lit(slice_bytes).cast("int") - F.lit(slice_bytes).cast("int") % F.col("nChannels")).cast("int")
+    parts = F.ceil(F.length("data") / per).cast("int")
+    cut = files.select(*keys, "nChannels", "data", per.alias("per"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("slice"))
+    cut = cut.select(*keys, "nChannels", "slice", F.substring(F.col("data"), F.col("slice") * F.col("per") + 1, F.col("per")).alias("data"))
+    # a given number: small shuffles would be merged into few partitions again
+    return cut.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "slice")
+
+
+def color_counts(files: DataFrame, keys: Sequence[str] = ("filename",), split_bytes: int | None = None) -> DataFrame:
     """One row per image: total / coloured / transparent pixel counts,
     ``palette`` (non-transparent colours with counts, most frequent first)
-    and ``counts`` (the same with transparent pixels as ``None``)."""
-    color = F.col("color")
-    counted = pixel_rows(files, keys).groupBy(*keys).agg(
-        F.count("pixel").alias("total_pixels"),
-        F.count_if(color == TRANSPARENT).alias("transparent_pixels"),
-        *[F.count_if(color == name).alias(name) for name in COLOR_NAMES],
-    )
+    and ``counts`` (the same with transparent pixels as ``None``).
+
+    With ``split_bytes``, images of more bytes are cut into slices of that size
+    that different tasks count; only their bytes are shuffled. ``files`` is then
+    read twice, for the small images and for the large ones, so ask for it where
+    a single image would keep a task busy for long.
+    """
+    if split_bytes is None:
+        counted = _counted(files, keys)
+    else:
+        large = F.coalesce(F.length("data") > split_bytes, F.lit(False)) & (F.col("nChannels") > 0)
+        sliced = image_slices(files.where(large), keys, split_bytes)
+        counted = _counted(files.where(~large), keys).unionByName(_counted(sliced, keys))
     palette = [(name, F.col(name)) for name in COLOR_NAMES]
     return counted.select(
         *keys,
@@ -114,6 +131,15 @@ def color_counts(files: DataFrame, keys: Sequence[str] = ("filename",)) -> DataF
     )
 
 
+def _counted(files: DataFrame, keys: Sequence[str]) -> DataFrame:
+    color = F.col("color")
+    return pixel_rows(files, keys).groupBy(*keys).agg(
+        F.count("pixel").alias("total_pixels"),
+        F.count_if(color == TRANSPARENT).alias("transparent_pixels"),
+        *[F.count_if(color == name).alias(name) for name in COLOR_NAMES],
+    )
+
+
 def color_profile(images: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """Per-image colour counts with ``annotation`` and ``group``.
 

@@ -570,6 +570,7 @@ def football_sql() -> dict[str, str]:
 
 def sales_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["scan_csv_layouts"] = with_views("SELECT * FROM f_sales", "f_sales")
     q["scan_csv"] = with_views("SELECT * FROM f_sales", "f_sales")
     q["sales_window"] = with_views("SELECT * FROM f_sales_window", "f_sales_window")
     q["sales_top_publisher"] = with_views("SELECT * FROM f_best_publisher", "f_best_publisher")
@@ -663,6 +664,32 @@ def colors_sql() -> dict[str, str]:
         """,
         "f_pictures",
     )
+    q["scan_jsonl_malformed"] = """
+        SELECT CASE WHEN doc_id % 50 = 7 OR doc_id % 70 = 9 THEN 'malformed' ELSE 'parsed' END AS channel,
+               CASE WHEN doc_id % 50 = 7 THEN '{"hexcode":"' || CAST(doc_id AS VARCHAR) || '","annotation":"doc'
+                    WHEN doc_id % 70 = 9 THEN '{"hexcode":"' || CAST(doc_id AS VARCHAR) || '","annotation":"doc: ' || CAST(doc_id AS VARCHAR) || '","group":[7}'
+                    ELSE CAST(doc_id AS VARCHAR) END AS content
+        FROM documents"""
+    level = lambda at: _bucket(at).replace("CAST('0x'", "TRY_CAST('0x'")
+    q["picture_histogram"] = with_views(
+        f"""
+        , pixels AS (
+          SELECT filename, substr(seed || seed, CAST(2 * ((c * i) % 16) + 1 AS BIGINT), 2 * c) AS px
+          FROM (SELECT 'album ' || CAST(a AS VARCHAR) AS filename, upper(seed) AS seed, c, unnest(range(0, h * w)) AS i FROM f_pictures WHERE NOT broken)
+          UNION ALL
+          SELECT filename, substr(hx, CAST(2 * c * i + 1 AS BIGINT), 2 * c) AS px
+          FROM (SELECT *, unnest(range(0, CAST(ceil(length(hx) / (2 * c)) AS BIGINT))) AS i
+                FROM (SELECT 'album ' || CAST(a AS VARCHAR) AS filename, c, hex(encode('no picture ' || seed)) AS hx FROM f_pictures WHERE broken))),
+        counted AS (SELECT filename, px, count(*) AS k FROM pixels GROUP BY filename, px)
+        SELECT filename, CASE WHEN length(px) = 8 AND TRY_CAST('0x' || substr(px, 7, 2) AS INTEGER) >= 128 THEN p.name ELSE 'None' END AS color,
+               CAST(sum(k) AS BIGINT) AS pixels
+        FROM counted LEFT JOIN f_palette p
+          ON length(px) = 8 AND p.r = {level(5)} AND p.g = {level(3)} AND p.b = {level(1)}
+        GROUP BY ALL
+        """,
+        "f_pictures",
+        "f_palette",
+    )
     q["scan_jsonl"] = with_views('SELECT filename AS hexcode, annotation, "group" FROM f_img', "f_img")
     q["image_metadata_join"] = with_views(
         'SELECT filename, annotation, "group", nChannels, hex(data) AS data_hex FROM f_img', "f_img"

@@ -22,7 +22,7 @@ from touchline.operators import teams as TM
 from touchline.session import scratch_path
 from touchline.sources import fixtures as fx
 from touchline.sources.png import write_pngs
-from touchline.sources.readers import read_events, read_images, read_metadata, read_sales_csv
+from touchline.sources.readers import malformed_metadata, read_events, read_images, read_metadata, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +288,40 @@ def q_scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     return read_metadata(spark, path)
 
 
+@register("scan_jsonl_malformed")
+def q_scan_jsonl_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata lines of which some are broken: the lines that parsed and, in the
+    other channel, those that didn't, counted and shown."""
+    path = scratch_path(spark, "image-meta-broken")
+    fx.image_meta_lines(spark, sf).write.text(path)
+    good = read_metadata(spark, path).select(F.lit("parsed").alias("channel"), F.col("hexcode").alias("content"))
+    bad = malformed_metadata(spark, path).select(F.lit("malformed").alias("channel"), F.col("line").alias("content"))
+    return good.unionByName(bad)
+
+
+@register("scan_csv_layouts")
+def q_scan_csv_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales files of one folder with three column orders, one of them with a
+    further column, read in one call."""
+    path = scratch_path(spark, "sales-layouts")
+    sales = fx.sales(spark, sf)
+    part = F.pmod(F.xxhash64("publisher", "release_date", "total_sales"), F.lit(3))
+    layouts = [sales.columns, sales.columns[::-1], ["total_sales", "note", "publisher", "na_sales", "release_date"]]
+    for k, columns in enumerate(layouts):
+        rows = sales.where(part == k).withColumn("note", F.lit("x")).select(*columns)
+        rows.write.mode("append").option("header", True).option("sep", "|").csv(path)
+    return read_sales_csv(spark, path)
+
+
+@register("picture_histogram")
+def q_picture_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Colours of the pictures of many sizes; those of more than a megabyte are
+    counted in slices."""
+    files = fx.pictures(spark, sf).withColumnRenamed("name", "filename")
+    counts = C.color_counts(files, split_bytes=1 << 20)
+    return counts.select("filename", F.explode("counts").alias("c")).select("filename", "c.color", "c.pixels")
+
+
 @register("image_metadata_join")
 def q_image_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
     """The joined rows, pixel bytes shown as upper-case hex text."""

@@ -1,6 +1,8 @@
 """Data sources: readers for the domain inputs and the derived test views."""
 
+from touchline.sources.png import write_pngs
 from touchline.sources.readers import (
+    malformed_metadata,
     read_events,
     read_images,
     read_matches,
@@ -13,6 +15,7 @@ from touchline.sources.readers import (
 )
 
 __all__ = [
+    "malformed_metadata",
     "read_events",
     "read_images",
     "read_matches",
@@ -22,4 +25,5 @@ __all__ = [
     "read_sales_csv",
     "read_series",
     "read_table",
+    "write_pngs",
 ]

@@ -272,6 +272,17 @@ def image_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def image_meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``f_image_meta`` as text: a JSON line a document; every 50th line is cut
+    in the middle and every 70th has a number where its group's list should end."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source"])
+    doc = F.col("doc_id").cast("string")
+    line = F.format_string('{"hexcode":"%s","annotation":"doc: %s","group":"%s"}', doc, doc, F.coalesce("source", F.lit("")))
+    cut = F.format_string('{"hexcode":"%s","annotation":"doc', doc)
+    odd = F.format_string('{"hexcode":"%s","annotation":"doc: %s","group":[7}', doc, doc)
+    return docs.select(F.when(F.col("doc_id") % 50 == 7, cut).when(F.col("doc_id") % 70 == 9, odd).otherwise(line).alias("value"))
+
+
 def power(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``f_power``: one sensor row per order with the series schema."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"])
