@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as E
 from check_oracle import compare, duck
 from data_folders import SF_SMALL
+from touchline import oracle, registry
 
-ORACLE_KEYS = sorted(E.oracle_sql())
+ORACLE_KEYS = sorted(oracle.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def con():
 
 
 def test_every_oracle_key_is_registered():
-    assert set(ORACLE_KEYS) <= set(E.queries())
+    assert set(ORACLE_KEYS) == set(registry.queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_survey_keys_are_registered():
