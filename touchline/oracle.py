@@ -36,7 +36,9 @@ def with_views(body: str, *names: str) -> str:
         visit(n)
     if not ordered:
         return body
-    ctes = ",\n".join(f"{n} AS (\n{_VIEWS[n][1]}\n)" for n in ordered)
+    # views that are large and read more than once are computed once
+    how = lambda n: "AS MATERIALIZED" if n in ("f_match_base", "f_subs", "f_length") else "AS"
+    ctes = ",\n".join(f"{n} {how(n)} (\n{_VIEWS[n][1]}\n)" for n in ordered)
     return f"WITH {ctes}\n{body}"
 
 
@@ -608,7 +610,7 @@ def players_sql() -> dict[str, str]:
         least(coalesce(outMinute, len), len) AS endMinute,
         least(coalesce(outMinute, len), len) - least(startMinute, len) AS minutes
     """
-    q["player_stints"] = with_views(f"SELECT {stint_cols} FROM f_stints", "f_stints")
+    q["player_stints"] = with_views(f"SELECT * EXCLUDE (competition, season) FROM (SELECT {stint_cols} FROM f_stints)", "f_stints")
     minutes = f"""
         SELECT season, playerId, CAST(sum(minutes) AS BIGINT) AS minutes
         FROM (SELECT {stint_cols} FROM f_stints) GROUP BY season, playerId

@@ -216,7 +216,8 @@ def _stints(spark: SparkSession, sf: str, season: str | None = None) -> DataFram
 
 @register("player_stints")
 def q_player_stints(spark: SparkSession, sf: str) -> DataFrame:
-    return _stints(spark, sf).drop("startClock", "endClock")
+    """Every interval; the match tells its competition and season."""
+    return _stints(spark, sf).drop("startClock", "endClock", "competition", "season")
 
 
 @register("player_minutes")
