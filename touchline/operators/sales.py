@@ -1,11 +1,10 @@
 """Sales analytics: best group by a measure, its missing values and yearly totals.
 
 Plan shape: the (large) sales rows are aggregated once to the small
-``(group, year)`` grain; the best group, its missing count and its yearly
-totals are all answered from that aggregate, which is checkpointed once to the
-shared checkpoint folder so the large input is scanned a single time. The best
-group is a one-row DataFrame joined back with an explicit broadcast (its size
-is bounded by ``limit(1)``), so no value travels through the driver.
+``(group, year)`` grain, and the best group, its missing count and its yearly
+totals are all answered from that aggregate: a group's years are kept beside its
+total, so one scan and one aggregation by group serve both and no value travels
+through the driver.
 """
 
 from __future__ import annotations
