@@ -17,7 +17,7 @@ def spark():
 
     from touchline.session import DEFAULT_CONF, ensure_checkpoint_dir
 
-    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "4g")
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

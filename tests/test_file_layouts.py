@@ -46,17 +46,30 @@ def test_broken_lines_are_returned_not_turned_into_null_rows(spark, tmp_dir):
     assert {r.file for r in bad.collect()} == {"m.jsonl"} and bad.count() == 3
 
 
-def test_one_large_image_is_counted_by_several_tasks(spark):
+def test_one_large_image_is_counted_by_several_tasks(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
     n = 4000
     rng = np.random.default_rng(2)
-    pixels = rng.integers(0, 256, (40, 4), np.uint8)[rng.integers(0, 40, n * n)]
-    rows = [("big", 4, bytearray(pixels.tobytes())), ("small", 4, bytearray(pixels[:9].tobytes())), ("partial", 4, bytearray(pixels[:3].tobytes()[:-1])), ("none", 4, None), ("odd", 0, bytearray(b"abc"))]
-    files = spark.createDataFrame(rows, "filename string, nChannels int, data binary")
+    kinds = rng.integers(0, 256, (40, 4), np.uint8)
+    pixels = kinds[rng.integers(0, 40, n * n)].tobytes()
+    rows = {"filename": ["big", "small", "partial", "none", "odd"], "nChannels": [4, 4, 4, 4, 0], "data": [pixels, pixels[:36], pixels[:11], None, b"abc"]}
+    table = pa.table(rows, schema=pa.schema([("filename", pa.string()), ("nChannels", pa.int32()), ("data", pa.binary())]))
+    pq.write_table(table, os.path.join(tmp_dir, "images.parquet"), use_dictionary=False)
+    files = spark.read.parquet(os.path.join(tmp_dir, "images.parquet"))
     slices = C.image_slices(files.where("filename = 'big'"), ["filename"], 1 << 20)
     # every slice is whole pixels, and they are dealt to many tasks
     dealt = slices.select(F.length("data").alias("n"), F.spark_partition_id().alias("p")).collect()
     assert sum(r.n for r in dealt) == 4 * n * n and all(r.n % 4 == 0 for r in dealt) and len({r.p for r in dealt}) > 4
     split = {r.filename: r for r in C.color_counts(files, split_bytes=1 << 20).collect()}
-    whole = {r.filename: r for r in C.color_counts(files).collect()}
-    assert split == whole and split["big"].total_pixels == n * n
-    assert sum(c.pixels for c in split["big"].counts) == n * n
+    small = {r.filename: r for r in C.color_counts(files.where("filename <> 'big'")).collect()}
+    assert {k: v for k, v in split.items() if k != "big"} == small
+    # each kind of pixel is named once and counted in numpy
+    named = spark.createDataFrame([(i, bytearray(k.tobytes())) for i, k in enumerate(kinds)], "i int, px binary").select("i", C.pixel_color(F.hex("px")).alias("color")).collect()
+    codes, counts = np.unique(np.frombuffer(pixels, "<u4"), return_counts=True)
+    of = {int(np.frombuffer(kinds[r.i].tobytes(), "<u4")[0]): r.color for r in named}
+    want: dict[str, int] = {}
+    for code, k in zip(codes.tolist(), counts.tolist(), strict=True):
+        want[of[code]] = want.get(of[code], 0) + k
+    assert split["big"].total_pixels == n * n and {c.color: c.pixels for c in split["big"].counts} == want
