@@ -166,3 +166,13 @@ def test_goals_and_stints_do_not_meet_as_rows(spark):
         registry.queries()["plus_minus_above"](spark, SF_SMALL).explain("formatted")
     joins = [line for line in text.getvalue().splitlines() if line.startswith("Join condition")]
     assert all("clock" not in line.lower() for line in joins)
+
+
+def test_stints_query_and_its_sql_tell_competition_and_season(spark):
+    import __spark_entry__ as E
+    from check_oracle import duck
+
+    got = E.queries()["player_stints"](spark, SF_SMALL)
+    sql = duck(SF_SMALL).sql(E.oracle_sql()["player_stints"])
+    assert set(got.columns) == set(sql.columns) == {"matchId", "competition", "season", "team", "playerId", "startMinute", "endMinute", "minutes"}
+    assert got.where("competition IS NULL OR season IS NULL").count() == 0
