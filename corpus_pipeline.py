@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import duck_bpe, hyperminhash, line_crf, secret_ledger, winnowing
-from touchline.llm.common import stored, table
+from touchline.llm.common import release, stored, table
 from touchline.session import scratch_path
 
 QUALITY_THRESHOLD = 0.7
@@ -60,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ledger = secret_ledger.Ledger(spark, scratch_path(spark, "ledger"))
     ledger.update(docs, "doc_id", "text")
+    release(spark)  # the texts shuffled for the scan, before they are shuffled to their spans
     spans = ledger.spans()
     rows = docs.withColumn("__blob", secret_ledger.blob_of(F.col("text"))).join(spans.withColumnsRenamed({"blob": "__blob", "spans": "__spans"}), "__blob", "left")
     clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(secret_ledger.redact(F.col("text"), F.col("__spans")))

@@ -299,3 +299,16 @@ def test_pipeline_secrets_values(spark):
     docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in said.items()], "doc_id long, text string, n_chars int")
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.secrets(spark, docs, SMALL).collect()}
     assert got == {i: (t, len(t or "")) for i, t in want.items()}
+
+
+def test_blocks_hash_their_texts_in_bounded_memory():
+    import tracemalloc
+
+    texts = [b" ".join(b"w%d" % (i * j % 997) for j in range(1000)) for i in range(1, 1200)] + [b"", b"one"]
+    hyperminhash.sets_in_pieces(texts[:300], 5)  # grows the shared powers
+    tracemalloc.start()
+    got = hyperminhash.sets_in_pieces(texts, 5)
+    peak = tracemalloc.get_traced_memory()[1] - sum(s.nbytes for s in got)
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 4 << 20 and peak < 100 << 20  # all at once: 194 MB
+    assert all((a == b).all() for a, b in zip(got, hyperminhash.shingle_sets(texts, 5), strict=True))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import PrefixHash, map_batches, mix, stored, text_bytes
+from touchline.llm.common import GROUP_BYTES, PrefixHash, map_batches, mix, stored, text_bytes
 from touchline.llm.components import connected_components
 
 BUCKETS = 288
@@ -89,6 +89,15 @@ def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     return out
 
 
+def sets_in_pieces(texts: list[bytes], shingle: int, group_bytes: int = GROUP_BYTES) -> list[np.ndarray]:
+    """``shingle_sets`` of about ``group_bytes`` of text at a time: its work
+    arrays take some 35 times the bytes that it gets at once."""
+    size = np.array([len(t) for t in texts], np.int64)
+    piece = (np.cumsum(size) - size) // group_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+    return [s for a, b in zip(cuts, cuts[1:], strict=False) for s in shingle_sets(texts[a:b], shingle)]
+
+
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """(documents, BUCKETS) HyperMinHash registers."""
     sizes = np.array([len(s) for s in sets])
@@ -242,9 +251,12 @@ def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shing
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["id", "out"])
-        sets = shingle_sets([normal_words(t.encode()) for t in group.text], shingle)
-        regs = np.frombuffer(b"".join(group.regs), np.uint16).reshape(-1, BUCKETS)
         ids, component, n = group.id.to_numpy(), group.component.to_numpy(), group.n.to_numpy()
+        # a class that stands on both sides has one set
+        place, first = np.unique(ids, return_index=True)
+        own = sets_in_pieces([normal_words(group.text.iat[i].encode()) for i in first], shingle)
+        sets = [own[i] for i in np.searchsorted(place, ids)]
+        regs = np.frombuffer(b"".join(group.regs), np.uint16).reshape(-1, BUCKETS)
         inside = np.flatnonzero(~group.out.to_numpy())
         t = percent / 100
         found = []
