@@ -164,3 +164,26 @@ def test_forest_without_rows_or_with_one_label(spark):
 def test_unseen_class_counts_as_probability_zero(spark):
     df = spark.createDataFrame([(0, [0.9, 0.1]), (5, [0.9, 0.1])], "hour int, p array<double>").withColumn("probability", array_to_vector("p"))
     assert CL.mean_true_probability(df, "hour").first().avg_prob == 0.45
+
+
+def test_packed_weights_are_the_row_weights(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("k"))
+    for trees in (6, 20):
+        got = rows.select(forest.row_weights(F.col("k"), trees, 3).alias("w"), forest.packed_weights(F.col("k"), trees, 3).alias("p")).collect()
+        assert all(list(r.p) == r.w for r in got)
+
+
+def test_forest_rows_are_walked_without_interpreted_lambdas(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 13), i % 3) for i in range(300)], "k long, a double, b double, y int")
+    model = forest.fit(df, ["a", "b"], "y", 3, "k", trees=4, depth=3)
+    text = model.transform(df)._jdf.queryExecution().toString()
+    assert "lambda" not in text and "ArrowEvalPython" in text
+
+
+def test_rows_that_lack_an_input_on_their_way_get_no_prediction(spark):
+    rows = [(i, float(i % 7), float(i % 13), int(i % 7 > 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int")
+    model = forest.fit(df, ["a", "b"], "y", 2, "k", trees=4, depth=3)
+    odd = spark.createDataFrame([(1, 1.0, 2.0, 0), (2, None, None, 0), (3, float("nan"), float("nan"), 0)], df.schema)
+    got = {r.k: r.prediction for r in model.transform(odd).select("k", "prediction").collect()}
+    assert got == {1: 0.0, 2: None, 3: 1.0}

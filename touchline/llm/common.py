@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import gc
-import shutil
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from touchline.plans import workers
 from touchline.session import scratch_path
 
 #: Text bytes handled at once inside a task (one longer text is handled alone).
@@ -45,25 +43,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-_shipped: set[str] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the Python workers (once a Spark application), as
-    ``--py-files`` would; Spark itself carries the archive to the executors."""
-    sc = spark.sparkContext
+    """``workers.ship_package``, with Arrow batches for whole texts."""
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":  # whole texts: that many fill a worker
         spark.conf.set(rows, str(BATCH_ROWS))
-    if sc.applicationId not in _shipped:
-        root = Path(__file__).resolve().parents[1]
-        with tempfile.TemporaryDirectory() as tmp:
-            for f in root.rglob("*.py"):
-                to = Path(tmp, "src", root.name, f.relative_to(root))
-                to.parent.mkdir(parents=True, exist_ok=True)
-                shutil.copy(f, to)
-            sc.addPyFile(shutil.make_archive(str(Path(tempfile.mkdtemp(), "touchline_package")), "zip", Path(tmp, "src")))
-        _shipped.add(sc.applicationId)
+    workers.ship_package(spark)
 
 
 _kept: dict[str, dict] = {}

@@ -30,6 +30,7 @@ from touchline.functions.calendar import calendar_columns
 from touchline.operators import forest
 from touchline.operators.forest import Forest
 from touchline.plans.materialize import materialize
+from touchline.plans.workers import ship_package
 
 WEATHER = ("temperature", "humidity", "wind_speed")
 POWER = ("power_tenants", "power_maintenance", "power_solar_panels")
@@ -60,6 +61,7 @@ EXTRA_CASES = (
 
 
 LABEL_INDEX = "__label"
+DRAWS = ("__train", "__weights", "__sample")
 #: Smallest value of each label; model classes count from there.
 FIRST_VALUE = {"month": 1, "hour": 0, "dayofweek": 1}
 
@@ -118,10 +120,24 @@ def fit_case(series: DataFrame, case: Case, seed: int = 1, key: str = "time") ->
     sees no difference between inputs and their min-max scaled values (scaling
     keeps their order, bins depend on nothing else), so it gets them unscaled.
     """
-    train, test = split_train_test(prepare(series, case), key, seed=seed)
+    return _fit_drawn(drawn(series, seed, key), case, seed, key)
+
+
+def drawn(series: DataFrame, seed: int = 1, key: str = "time") -> DataFrame:
+    """``series`` with what is drawn for each row by its key: the part it is in,
+    its weight in every tree and its place in the sample for bins. None of it
+    depends on the case, so cases can share it."""
+    ship_package(series.sparkSession)
+    draws = (split_flag(key, seed=seed), forest.packed_weights(F.col(key), forest.TREES, seed), forest.sample_digest(F.col(key)))
+    return series.withColumns(dict(zip(DRAWS, draws, strict=True)))
+
+
+def _fit_drawn(series: DataFrame, case: Case, seed: int, key: str) -> tuple[Forest | PipelineModel, DataFrame]:
+    data = prepare(series, case)
+    train, test = data.filter("__train"), data.filter("NOT __train").drop(*DRAWS)
     train = train.withColumn(LABEL_INDEX, F.col(case.label) - FIRST_VALUE.get(case.label, 0))
     if case.classifier == "RandomForest":
-        model = forest.fit(train, case.inputs, LABEL_INDEX, case.period, key, seed=seed)
+        model = forest.fit(train, case.inputs, LABEL_INDEX, case.period, key, seed=seed, weights=F.col("__weights"), digest=F.col("__sample"))
     elif case.classifier == "NaiveBayes":
         model = _fit_bayes(train, case)
     else:
@@ -224,8 +240,8 @@ def run_cases(
 ) -> DataFrame:
     """Fit and evaluate every case; one report row per case, in case order.
 
-    The calendar columns are computed once and the input is cached for the
-    fits. The cases are independent, so up to ``parallelism`` of them are
+    The calendar columns and the draws are computed once and the input is cached
+    for the fits. The cases are independent, so up to ``parallelism`` of them are
     fitted at the same time from driver threads (as ``pyspark.ml`` tuning
     does): a fit is a job a level, and concurrent fits fill the cores the others
     leave idle between jobs. The small report is checkpointed so
@@ -233,10 +249,10 @@ def run_cases(
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    base = with_calendar(series).persist()
+    base = drawn(with_calendar(series), seed, key).persist()
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(lambda case: fit_case(base, case, seed, key), cases))
+            fitted = list(pool.map(lambda case: _fit_drawn(base, case, seed, key), cases))
         rows = [_report_row(case, predictions) for case, (_, predictions) in zip(cases, fitted)]
         report = rows[0]
         for r in rows[1:]:

@@ -8,10 +8,11 @@ from the tree's and node's numbers. All sums are of integers. The forest thus
 depends on the rows alone - not on files, partitions, cluster size or a task
 that runs twice.
 
-One grouped aggregate a level grows all nodes of all trees: rows carry their
-bins, their weight and their node in every tree; (tree, node, feature, bin,
-label) weights are summed map-side first, so what a task hands over is bounded
-by trees x nodes x features x bins x labels whatever the number of rows. The best
+One grouped aggregate a level grows all nodes of all trees: rows are kept as a
+few bytes (label, bins, weight in every tree); tasks walk blocks of them down the
+trees with numpy and sum the (tree, node, feature, bin, label) weights, so what a
+task hands over is bounded by trees x nodes x features x bins x labels whatever
+the number of rows; Spark sums the tasks' counts by key. The best
 split of a node maximises sum(left**2) / left + sum(right**2) / right over the
 labels' weights (the Gini gain), found by window sums over the histogram; equal
 splits go to the lower feature, then the lower bin. The driver gets one row for
@@ -24,15 +25,18 @@ that share of them.
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.plans.workers import ship_package
+
 TREES = 20
 DEPTH = 5
 BINS = 32
@@ -40,6 +44,8 @@ SAMPLE_ROWS = 100_000
 #: A leaf's label shares are held as integers of this unit, so that the trees'
 #: votes add up exactly.
 UNIT = 1_000_000_000
+#: Rows that a task walks down the trees together.
+BLOCK_ROWS = 1 << 15
 
 
 def poisson_cuts() -> list[str]:
@@ -63,6 +69,55 @@ def row_weights(key: Column, trees: int, seed: int) -> Column:
     return F.array(*weights)
 
 
+def packed_weights(key: Column, trees: int, seed: int) -> Column:
+    """binary: ``row_weights``, a byte a tree, from the same digests."""
+    n_digests = -(-trees // 4)
+    digests = [F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}:{k}"))) for k in range(n_digests)]
+    cuts = np.array([int(c, 16) for c in poisson_cuts()], np.uint32)
+
+    @F.arrow_udf("binary")
+    def passed(digest: pa.Array) -> pa.Array:
+        draws = _matrix(digest, 16 * n_digests).view(">u4")[:, :trees].astype(np.uint32)
+        return _binary(np.searchsorted(cuts, draws, side="right").astype(np.uint8))
+
+    return passed(F.unhex(F.concat(*digests)))
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """(rows, width) bytes of binary values that all have ``width``."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.zeros((0, width), np.uint8)
+    start = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+    return np.frombuffer(column.buffers()[2], np.uint8, len(column) * width, start).reshape(-1, width)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a matrix as one binary value."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """Matrices of about BLOCK_ROWS rows from batches of one binary column."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(_matrix(batch.column(0), width))
+        if sum(map(len, held)) >= BLOCK_ROWS:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
+
+
+def _cell_batches(names: Sequence[str], columns: Sequence[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(columns[0]), 1 << 16):
+        types = [pa.int32()] * (len(names) - 1) + [pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c[a : a + (1 << 16)].astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)], list(names))
+
+
 def node_features(tree: int, node: int, n_features: int, seed: int) -> list[int]:
     """The features a node may split on: the first ceil(sqrt(n)) by digest."""
     import hashlib
@@ -71,11 +126,6 @@ def node_features(tree: int, node: int, n_features: int, seed: int) -> list[int]
     return sorted(order[: math.ceil(math.sqrt(n_features))])
 
 
-def _table(values: Sequence, kind: str) -> Column:
-    """A constant array; parsed once when the plan is optimised."""
-    return F.from_json(F.lit(json.dumps(list(values))), kind)
-
-
 @dataclass
 class Forest:
     inputs: tuple[str, ...]
@@ -91,52 +141,58 @@ class Forest:
         """Places for one tree's nodes (heap numbers from 1)."""
         return 1 << (self.depth + 1)
 
-    def bins(self) -> Column:
-        """array<int>: how many cuts of each input lie below its value."""
-        return F.array(*[sum(((F.col(c) > F.lit(float(x))).cast("int") for x in cuts), F.lit(0)) for c, cuts in zip(self.inputs, self.cuts, strict=True)])
-
-    def step(self, nodes: Column, bins: Column) -> Column:
-        """Every tree's node one level on; unsplit nodes stay."""
-        feature, cut = [-1] * (self.trees * self.width), [0] * (self.trees * self.width)
-        for (tree, node), (f, b) in self.splits.items():
-            feature[tree * self.width + node], cut[tree * self.width + node] = f, b
-        features, cuts = _table(feature, "array<int>"), _table(cut, "array<int>")
-
-        def move(node: Column, tree: Column) -> Column:
-            place = tree * self.width + node
-            f = F.get(features, place)
-            return F.when(f < 0, node).otherwise(2 * node + (F.get(bins, f) > F.get(cuts, place)).cast("int"))
-
-        return F.transform(nodes, move)
-
-    def walk(self, bins: Column) -> Column:
-        nodes = F.array_repeat(F.lit(1), self.trees)
-        for _ in range(self.depth):
-            nodes = self.step(nodes, bins)
-        return nodes
-
-    def votes(self, nodes: Column) -> Column:
-        """array<long>: sum over the trees of a label's share in the leaf."""
-        shares = [[0] * self.classes for _ in range(self.trees * self.width)]
+    def bin(self, f: int, values: np.ndarray) -> np.ndarray:
+        """How many cuts of input ``f`` lie below each value (NaN: all)."""
+        return np.searchsorted(np.array(self.cuts[f], np.float64), values, side="left")
+
+    def walk(self, tree: int, bins: Sequence[np.ndarray], levels: int) -> np.ndarray:
+        """Each row's node of a tree after ``levels`` steps, from the bins of
+        each input; rows stay in unsplit nodes."""
+        node = np.ones(len(bins[0]), np.uint8 if self.width <= 256 else np.int32)
+        for level in range(levels):
+            split, right = np.zeros(len(node), bool), np.zeros(len(node), bool)
+            for n in range(1 << level, 2 << level):
+                if (tree, n) in self.splits:
+                    f, b = self.splits[tree, n]
+                    here = node == n
+                    split |= here
+                    right |= here & (bins[f] > b)
+            node += (node + right) * split
+        return node
+
+    def shares(self) -> np.ndarray:
+        """(trees, nodes, classes): the labels' shares in each leaf, in UNITs."""
+        out = np.zeros((self.trees, self.width, self.classes), np.int64)
         for (tree, node), found in self.leaves.items():
             total = sum(found.values())
-            shares[tree * self.width + node] = [UNIT * found.get(c, 0) // total for c in range(self.classes)]
-        table = _table(shares, "array<array<long>>")
-        start = F.array_repeat(F.lit(0).cast("long"), self.classes)
-        leaf = F.transform(nodes, lambda node, tree: F.get(table, tree * self.width + node))
-        return F.aggregate(leaf, start, lambda acc, x: F.zip_with(acc, x, lambda p, q: p + q))
+            out[tree, node] = [UNIT * found.get(c, 0) // total for c in range(self.classes)]
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (vector) and ``prediction`` (0-based label with
-        most votes, ties to the lower one)."""
-        binned = df.withColumn("__bins", self.bins()).withColumn("__nodes", self.walk(F.col("__bins")))
-        voted = binned.withColumn("__votes", self.votes(F.col("__nodes")))
-        return voted.withColumns(
-            {
-                "probability": array_to_vector(F.transform("__votes", lambda v: v / F.lit(float(UNIT * self.trees)))),
-                "prediction": (F.array_position("__votes", F.array_max("__votes")) - 1).cast("double"),
-            }
-        ).drop("__bins", "__nodes", "__votes")
+        most votes, ties to the lower one). A row that lacks an input on its
+        way has no prediction."""
+        ship_package(df.sparkSession)
+        forest, shares = self, self.shares()
+
+        @F.arrow_udf("struct<probability: array<double>, prediction: double>")
+        def vote(inputs: pa.Array) -> pa.Array:
+            values = [inputs.field(f) for f in range(len(forest.inputs))]
+            bins = [forest.bin(f, x.to_numpy(zero_copy_only=False).astype(np.float64)) for f, x in enumerate(values)]
+            lacks = {f: x.is_null().to_numpy(zero_copy_only=False) for f, x in enumerate(values) if x.null_count}
+            votes = np.zeros((len(inputs), forest.classes), np.int64)
+            lost = np.zeros(len(inputs), bool)
+            for tree in range(forest.trees):
+                node = forest.walk(tree, bins, forest.depth)
+                votes += shares[tree][node]
+                for (t, n), (f, _) in forest.splits.items() if lacks else ():
+                    if t == tree and f in lacks:
+                        lost |= lacks[f] & (forest.walk(tree, bins, n.bit_length() - 1) == n)
+            probability = pa.ListArray.from_arrays(pa.array(np.arange(len(votes) + 1, dtype=np.int32) * forest.classes), pa.array((votes / float(UNIT * forest.trees)).ravel()))
+            return pa.StructArray.from_arrays([probability, pa.array(votes.argmax(1).astype(np.float64))], ["probability", "prediction"], mask=pa.array(lost))
+
+        voted = df.withColumn("__votes", vote(F.struct(*[F.col(c).cast("double").alias(f"x{f}") for f, c in enumerate(self.inputs)])))
+        return voted.withColumns({"probability": array_to_vector("__votes.probability"), "prediction": F.col("__votes.prediction")}).drop("__votes")
 
     def nodes(self) -> list[tuple[int, int, int | None, float | None]]:
         """(tree, node, feature, threshold): splits go left up to the threshold;
@@ -145,11 +201,16 @@ class Forest:
         return sorted(found + [(t, n, None, None) for t, n in self.leaves], key=lambda x: x[:2])
 
 
-def bin_cuts(train: DataFrame, inputs: Sequence[str], key: str, bins: int = BINS, sample_rows: int = SAMPLE_ROWS) -> list[list[float]]:
+def sample_digest(key: Column) -> Column:
+    """Eight hex digits that place a row in the sample its bins come from."""
+    return F.substring(F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":bins"))), 1, 8)
+
+
+def bin_cuts(train: DataFrame, inputs: Sequence[str], key: str, bins: int = BINS, sample_rows: int = SAMPLE_ROWS, digest: Column | None = None) -> list[list[float]]:
     """The cuts of each input (at most bins - 1 numbers each, collected)."""
     rows = train.count()
     if rows > sample_rows:
-        digest = F.substring(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":bins"))), 1, 8)
+        digest = sample_digest(F.col(key)) if digest is None else digest
         train = train.where(digest < f"{sample_rows * 2**32 // rows:08x}")
     pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x")) for i, c in enumerate(inputs)])
     counts = train.select(F.explode(pairs).alias("p")).groupBy("p.f", "p.x").count()
@@ -189,38 +250,92 @@ def _best_splits(cells: DataFrame) -> DataFrame:
     return scored.where("score > whole").withColumn("rank", F.row_number().over(first)).where("rank = 1").select("tree", "node", "feature", "bin")
 
 
-def fit(train: DataFrame, inputs: Sequence[str], label: str, classes: int, key: str, trees: int = TREES, depth: int = DEPTH, bins: int = BINS, seed: int = 1) -> Forest:
+def fit(
+    train: DataFrame,
+    inputs: Sequence[str],
+    label: str,
+    classes: int,
+    key: str,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    bins: int = BINS,
+    seed: int = 1,
+    weights: Column | None = None,
+    digest: Column | None = None,
+) -> Forest:
     """Grow a forest on ``train`` (complete rows; ``label`` 0-based below
     ``classes``). Without rows there is no tree: every label gets no vote and the
-    prediction is the first one. Rows of one key share their weights."""
-    forest = Forest(tuple(inputs), classes, trees, depth, bin_cuts(train, inputs, key, bins))
-    rows = train.select(F.col(label).cast("int").alias("label"), forest.bins().alias("bins"), row_weights(F.col(key), trees, seed).alias("weights"))
-    rows = rows.persist()  # numbers only: bins and weights
+    prediction is the first one. Rows of one key share their weights. Where
+    several forests grow on the same rows, ``weights`` and ``digest`` are columns
+    that hold ``packed_weights`` and ``sample_digest`` already."""
+    ship_package(train.sparkSession)
+    forest = Forest(tuple(inputs), classes, trees, depth, bin_cuts(train, inputs, key, bins, digest=digest))
+    weights = packed_weights(F.col(key), trees, seed) if weights is None else weights
+    kind = np.uint8 if max(classes, bins) <= 256 else np.uint16
+    n_inputs, tries = len(forest.inputs), math.ceil(math.sqrt(len(forest.inputs)))
+    fields = 1 + n_inputs + trees
+    width = fields * np.dtype(kind).itemsize
+    n_bins = 1 + max(map(len, forest.cuts))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.empty((batch.num_rows, fields), kind)
+            labels = batch.column(0).to_numpy(zero_copy_only=False)
+            if len(labels) and not (labels.min() >= 0 and labels.max() < classes):
+                raise ValueError(f"labels must lie between 0 and {classes - 1}")
+            rows[:, 0] = labels
+            for f in range(n_inputs):
+                rows[:, 1 + f] = forest.bin(f, batch.column(2 + f).to_numpy(zero_copy_only=False).astype(np.float64))
+            rows[:, 1 + n_inputs :] = _matrix(batch.column(1), trees)
+            yield pa.RecordBatch.from_arrays([_binary(rows)], ["row"])
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        """Label, bins of each input, weight in each tree."""
+        for block in _blocks(batches, width):
+            yield np.ascontiguousarray(block.view(kind).T)
+
+    rows = train.select(F.col(label).cast("int").alias("label"), weights.alias("weights"), *[F.col(c).cast("double").alias(f"x{f}") for f, c in enumerate(forest.inputs)])
+    rows = rows.mapInArrow(pack, "row binary").persist()  # a few bytes a row
     try:
         for level in range(depth):
             open_nodes = [(t, n) for t in range(trees) for n in range(1 << level, 2 << level) if level == 0 or (t, n // 2) in forest.splits]
             if not open_nodes:
                 break
-            features: list[list[int]] = [[] for _ in range(trees * forest.width)]
+            first, places = 1 << level, n_bins * classes
+            chosen = np.zeros((trees, tries, first), np.int64)
             for t, n in open_nodes:
-                features[t * forest.width + n] = node_features(t, n, len(forest.inputs), seed)
-            choice = _table(features, "array<array<int>>")
-            placed = rows.select("label", "bins", F.posexplode(F.arrays_zip("weights", _nodes(forest, level).alias("nodes"))).alias("tree", "s"))
-            placed = placed.where("s.weights > 0").select("label", "bins", "tree", F.col("s.nodes").alias("node"), F.col("s.weights").alias("w"))
-            each = placed.select("label", "bins", "tree", "node", "w", F.explode(F.get(choice, F.col("tree") * forest.width + F.col("node"))).alias("feature"))
-            cells = each.groupBy("tree", "node", "feature", F.get("bins", F.col("feature")).alias("bin"), "label").agg(F.sum("w").alias("w"))
+                chosen[t, :, n - first] = node_features(t, n, n_inputs, seed)
+
+            def count(batches: Iterator[pa.RecordBatch], level: int = level, first: int = first, places: int = places, chosen: np.ndarray = chosen) -> Iterator[pa.RecordBatch]:
+                sums = np.zeros((trees, tries, first * places))
+                for c in columns(batches):
+                    n = c.shape[1]
+                    cell = (c[1 : 1 + n_inputs].astype(np.int64) * classes + c[0]).ravel()  # of each input and row
+                    for t in range(trees):
+                        node, w = forest.walk(t, c[1 : 1 + n_inputs], level), c[1 + n_inputs + t]
+                        at = np.flatnonzero((node >= first) & (w > 0))
+                        inside, w = node[at].astype(np.int64) - first, w[at].astype(np.float64)
+                        for j in range(tries):
+                            sums[t, j] += np.bincount(cell[chosen[t, j][inside] * n + at] + inside * places, w, first * places)
+                tree, j, node, b, y = np.nonzero(sums.reshape(trees, tries, first, n_bins, classes))
+                yield from _cell_batches(("tree", "node", "feature", "bin", "label", "w"), (tree, node + first, chosen[tree, j, node], b, y, sums[sums != 0]))
+
+            counted = rows.mapInArrow(count, "tree int, node int, feature int, bin int, label int, w long")
+            cells = counted.groupBy("tree", "node", "feature", "bin", "label").agg(F.sum("w").alias("w"))
             for r in _best_splits(cells).collect():  # a row a node
                 forest.splits[r.tree, r.node] = (r.feature, r.bin)
-        placed = rows.select("label", F.posexplode(F.arrays_zip("weights", forest.walk(F.col("bins")).alias("nodes"))).alias("tree", "s")).where("s.weights > 0")
-        for r in placed.groupBy("tree", F.col("s.nodes").alias("node"), "label").agg(F.sum("s.weights").alias("w")).collect():
+
+        def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((trees, forest.width * classes))
+            for c in columns(batches):
+                for t in range(trees):
+                    node = forest.walk(t, c[1 : 1 + n_inputs], depth).astype(np.int64)
+                    sums[t] += np.bincount(node * classes + c[0], c[1 + n_inputs + t], forest.width * classes)
+            tree, node, y = np.nonzero(sums.reshape(trees, forest.width, classes))
+            yield from _cell_batches(("tree", "node", "label", "w"), (tree, node, y, sums[sums != 0]))
+
+        for r in rows.mapInArrow(leaves, "tree int, node int, label int, w long").groupBy("tree", "node", "label").agg(F.sum("w").alias("w")).collect():
             forest.leaves.setdefault((r.tree, r.node), {})[r.label] = r.w
         return forest
     finally:
         rows.unpersist()
-
-
-def _nodes(forest: Forest, level: int) -> Column:
-    nodes = F.array_repeat(F.lit(1), forest.trees)
-    for _ in range(level):
-        nodes = forest.step(nodes, F.col("bins"))
-    return nodes
