@@ -81,6 +81,23 @@ def test_estimate_is_close():
     assert used[0] == hyperminhash.BUCKETS and abs(j[0] - 0.8) < 0.12
 
 
+def test_small_sets_share_bands_only_if_alike():
+    # one common phrase in texts that are otherwise different
+    texts = [b" ".join([b"one common phrase here", *(b"w%dx%d" % (i, j) for j in range(30))]) for i in range(400)]
+    key = hyperminhash.band_keys(hyperminhash.registers(hyperminhash.shingle_sets(texts, 2)))[2]
+    together = np.unique(key, return_counts=True)[1]
+    assert (together * (together - 1) // 2).sum() < 40  # of 79,800 pairs
+    # sets of similarity 0.8, sizes below and above the buckets
+    for n in (5, 10, 50, 200, 300, 1000):
+        whole = [[b"v%dx%d" % (i, j) for j in range(n + 1)] for i in range(40)]
+        texts = [b" ".join(w[: n * 4 // 5 + 1] if half else w) for w in whole for half in (0, 1)]
+        regs = hyperminhash.registers(hyperminhash.shingle_sets([*texts, b""], 2))
+        assert regs[:-1].all() and not regs[-1].any()
+        same = regs[0:-1:2] == regs[1:-1:2]
+        assert same.reshape(40, hyperminhash.BANDS, hyperminhash.ROWS).all(2).any(1).all()
+        assert abs(same.mean() - 0.8) < 0.02
+
+
 # --- 7
 
 

@@ -3,10 +3,14 @@
 A document's set is its distinct shingles of ``shingle`` words. Each shingle
 hash falls in one of ``BUCKETS`` buckets; a bucket keeps its least value as a
 16-bit register: leading zeros (6 bits, plus one; 0 is empty) and the next
-``MANTISSA`` bits. Bands of ``ROWS`` registers are hashed; documents that agree
-on a band (with a register that isn't empty) are candidates. A pair at the
-threshold 0.8 misses all 48 bands with probability (1 - 0.8**6)**48 < 1e-6, and
-sets smaller than the buckets with less.
+``MANTISSA`` bits. A bucket that no shingle of a small set falls in takes the
+least of all its shingles under a hash of the bucket's own, as 16 bits: left
+empty, a band of such a set would hold one shingle or two, and all small
+documents with one common phrase would be candidates. So every register of two
+sets agrees with the probability of their similarity, whatever their sizes.
+Bands of ``ROWS`` registers are hashed; documents that agree on a band are
+candidates. A pair at the threshold 0.8 misses all 48 bands with probability
+(1 - 0.8**6)**48 < 1e-6.
 
 Work stays linear in a group of copies. Documents with the same sequence of
 words are one class. In a band shared by many classes a few hubs stand for the
@@ -55,6 +59,8 @@ BLOCK = 2048
 BLOCK_SHINGLES = 1 << 21
 
 _U = np.uint64
+#: Odd multipliers, one for each bucket.
+FILL = mix(np.arange(1, BUCKETS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)).astype(np.uint32) | np.uint32(1)
 
 
 def normal_words(text: bytes) -> bytes:
@@ -99,7 +105,7 @@ def sets_in_pieces(texts: list[bytes], shingle: int, group_bytes: int = GROUP_BY
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """(documents, BUCKETS) HyperMinHash registers."""
+    """(documents, BUCKETS) HyperMinHash registers; only empty sets have empty ones."""
     sizes = np.array([len(s) for s in sets])
     out = np.zeros((len(sets), BUCKETS), np.uint16)
     if not sizes.sum():
@@ -119,6 +125,12 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     down = np.maximum(top.astype(np.int64) - MANTISSA, 0).astype(_U)
     up = np.maximum(MANTISSA - top.astype(np.int64), 0).astype(_U)
     out.ravel()[slot[first].astype(np.int64)] = ((zeros + 1) << MANTISSA) | ((rest >> down) << up).astype(np.int64)
+    # small sets leave buckets empty: each of these takes the least of all shingles under its own multiplier
+    ends, low = np.cumsum(sizes), h.astype(np.uint32)
+    for i in np.flatnonzero((sizes > 0) & (out == 0).any(1)):
+        empty = np.flatnonzero(out[i] == 0)
+        least = (low[ends[i] - sizes[i] : ends[i], None] * FILL[empty]).min(0)
+        out[i, empty] = np.maximum(mix(least.astype(_U)) >> _U(48), _U(1))
     return out
 
 
@@ -237,7 +249,7 @@ def _texts_of(rows: DataFrame, speakers: DataFrame, members: DataFrame) -> DataF
 def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) of members outside a band's largest component with members
     of other components, for ``rows`` (id, component, top). A member needs one
-    link with each other component, so the likeliest come first."""
+    link with each other component."""
     arena = rows.groupBy("top", "id").agg(F.first("component").alias("component")).join(classes.select("id", "n"), "id")
     out = F.col("component") != F.col("top")
     sizes = arena.groupBy("top").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.count_if(out).alias("m_out"), F.sum(F.when(out, F.col("n")).otherwise(0)).alias("s_out"))
@@ -253,9 +265,13 @@ def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shing
         group = group.drop_duplicates(["id", "out"])
         ids, component, n = group.id.to_numpy(), group.component.to_numpy(), group.n.to_numpy()
         # a class that stands on both sides has one set
-        place, first = np.unique(ids, return_index=True)
-        own = sets_in_pieces([normal_words(group.text.iat[i].encode()) for i in first], shingle)
-        sets = [own[i] for i in np.searchsorted(place, ids)]
+        _, first, own = np.unique(ids, return_index=True, return_inverse=True)
+        sets = sets_in_pieces([normal_words(group.text.iat[i].encode()) for i in first], shingle)
+        size = np.array([len(x) for x in sets])
+        start = np.cumsum(size) - size
+        # numbered shingles: one lookup of many sets in a set's marks counts what they share
+        numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        marks = np.zeros(len(numbers) + 1, np.bool_)
         regs = np.frombuffer(b"".join(group.regs), np.uint16).reshape(-1, BUCKETS)
         inside = np.flatnonzero(~group.out.to_numpy())
         t = percent / 100
@@ -265,14 +281,20 @@ def _compare_blocks(rows: DataFrame, classes: DataFrame, texts: DataFrame, shing
             if not len(j):
                 continue
             guess, used = estimate(regs[i][None, :], regs[j], n[i], n[j])
-            likely = np.flatnonzero((used < 32) | (guess >= t - 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1))))
-            met: set[int] = set()
-            for k in j[likely[np.argsort(-guess[likely], kind="stable")]]:
-                if component[k] not in met:
-                    both_n = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
-                    if 100 * both_n >= percent * (len(sets[i]) + len(sets[k]) - both_n):
-                        met.add(component[k])
-                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+            j = j[guess >= t - 6 * np.sqrt(t * (1 - t) / used)]
+            if not len(j):
+                continue
+            mine = numbers[start[own[i]] : start[own[i]] + size[own[i]]]
+            marks[mine] = True
+            length = size[own[j]]
+            at = np.cumsum(length) - length
+            theirs = numbers[np.repeat(start[own[j]] - at, length) + np.arange(length.sum())]
+            both_n = np.add.reduceat(marks[theirs], at, dtype=np.int64)
+            marks[mine] = False
+            j = j[100 * both_n >= percent * (len(mine) + length - both_n)]
+            # one link with each other component
+            for k in j[np.unique(component[j], return_index=True)[1]]:
+                found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return stored(full.groupBy("top", "x", "y").applyInPandas(compare, "a long, b long"), "block-links")
@@ -289,9 +311,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: in
         regs = [np.frombuffer(b"".join(got[k].to_pylist()), np.uint16).reshape(-1, BUCKETS) for k in ("r_a", "r_b")]
         j, used = estimate(*regs, got["n_a"].to_numpy(), got["n_b"].to_numpy())
         t = percent / 100
-        # few registers leave the estimate loose: such small sets are always confirmed
-        keep = (used < 32) | (j >= t - 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)))
-        keep = np.flatnonzero(keep)
+        keep = np.flatnonzero(j >= t - 6 * np.sqrt(t * (1 - t) / used))
         yield pa.RecordBatch.from_arrays([got["a"].take(pa.array(keep)), got["b"].take(pa.array(keep))], ["a", "b"])
 
     survivors = map_batches(near.select("a", "b", "n_a", "n_b", "r_a", "r_b"), likely, "a long, b long")
